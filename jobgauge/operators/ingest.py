@@ -31,9 +31,16 @@ def filter_min_value(df: DataFrame, minimum: float, column: str = "value") -> Da
 
 
 def transform_sales(
-    source: DataFrame, rules: SalesRules = SALES_DEFAULTS, order_by: Sequence[str] = ("date", "region")
+    source: DataFrame,
+    rules: SalesRules = SALES_DEFAULTS,
+    order_by: Sequence[str] = ("date", "region"),
+    reference: DataFrame | None = None,
 ) -> DataFrame:
-    """Filter, stamp, parse dates, upper-case the category and pair with the reference regions."""
+    """Filter, stamp, parse dates, upper-case the category and pair with the reference regions.
+
+    The reference regions come from the source itself unless `reference` is given. Finding the first ones of a large
+    source reads it once more, so pass a small table with the `order_by` columns where there is one.
+    """
     kept = filter_min_value(source, rules.ingest_min_value).withColumns(
         {
             "processed_timestamp": F.current_timestamp(),
@@ -41,7 +48,8 @@ def transform_sales(
             "CATEGORY_UPPERCASE": F.upper("category"),
         }
     )
-    return cross_reference(kept, source, "region", order_by, rules.reference_rows, "ref_region")
+    regions = source if reference is None else reference
+    return cross_reference(kept, regions, "region", order_by, rules.reference_rows, "ref_region")
 
 
 def ingest_metrics(bronze: DataFrame) -> DataFrame:

@@ -20,13 +20,15 @@ def run_ingestion(
     mode: str = "overwrite",
     rules: SalesRules = SALES_DEFAULTS,
     partition_by: Sequence[str] = ("year", "month"),
+    reference: DataFrame | None = None,
+    reference_order: Sequence[str] = ("date", "region"),
 ) -> DataFrame:
     """Write the bronze table and return its metrics.
 
     The metrics read three columns of what was written: nothing is cached, and a task that ran twice counts once.
     """
     source = read_source(spark, source_path, source_format, schemas.SALES)
-    bronze = transform_sales(source, rules)
+    bronze = transform_sales(source, rules, reference_order, reference)
     if {"year", "month"} & set(partition_by):
         bronze = add_calendar(bronze)
     write_table(bronze, target_path, mode, partition_by)

@@ -13,16 +13,16 @@ def _run_lines(spark, sf_dir):
     seconds = "yyyy-MM-dd HH:mm:ss"
     run_id = F.col("run_id")
     start = F.when(run_id % 13 == 0, F.lit("soon")).otherwise(F.date_format("start_time", seconds))
-    line = F.format_string(
-        '%s,%s,%s,%s,%s,%s,"%s"',
-        F.col("job_id"),
+    fields = [
+        F.col("job_id").cast("string"),
         F.col("job_name"),
         F.when(run_id % 9 == 0, F.lit("")).otherwise(F.col("configuration")),
         F.col("runtime_minutes").cast("decimal(18,2)").cast("string"),
         start,
         F.date_format("end_time", seconds),
-        F.col("output"),
-    )
+        F.concat(F.lit('"'), "output", F.lit('"')),
+    ]
+    line = F.concat_ws(",", *fields)
     return runs(spark, sf_dir).select(line.alias("line"))
 
 

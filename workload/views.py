@@ -64,18 +64,21 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_runs(events: DataFrame) -> DataFrame:
     """Events as job runs: the user is the job, the value its minutes, the event type its node type and log."""
-    workers = F.get_json_object("props", "$.k")
-    configuration = F.format_string(
-        '{"cluster_config": {"driver_node_type_id": "%s_driver", "node_type_id": "%s", "num_workers": %s}}',
-        F.col("event_type"),
-        F.col("event_type"),
+    kind, workers = F.col("event_type"), F.get_json_object("props", "$.k")
+    configuration = _concat(
+        '{"cluster_config": {"driver_node_type_id": "',
+        kind,
+        '_driver", "node_type_id": "',
+        kind,
+        '", "num_workers": ',
         workers,
+        "}}",
     )
     seconds = F.floor(F.col("value") * 60).cast("int")
     return events.select(
         F.col("event_id").alias("run_id"),
         F.col("user_id").alias("job_id"),
-        F.concat("event_type", F.lit("_job")).alias("job_name"),
+        _concat(kind, "_job").alias("job_name"),
         configuration.alias("configuration"),
         F.col("value").alias("runtime_minutes"),
         F.col("ts").alias("start_time"),
@@ -91,19 +94,23 @@ def _log_lines(workers):
         F.when(kind == "click", "WARN: Tasks waited long for executor scheduling")
         .when(kind == "view", "WARN: The plan holds a cartesian join")
         .when(kind == "signup", "WARN: Join keys show skew")
-        .when(kind == "purchase", F.format_string("WARN: Shuffle spill (memory) of %s GB and (disk) of 1.5 GB", amount))
+        .when(kind == "purchase", _concat("WARN: Shuffle spill (memory) of ", amount, " GB and (disk) of 1.5 GB"))
         .when(kind == "error", "ERROR: SparkException: a stage was aborted")
     )
     memory = F.when((kind == "error") & (value > 100), "ERROR: OutOfMemoryError: the heap is full")
     return [
-        F.concat(F.lit("INFO: Started "), kind),
+        _concat("INFO: Started ", kind),
         trouble,
         memory,
-        F.format_string("INFO: Processed %s rows", F.format_number(F.col("event_id") * 37 + 1000, 0)),
-        F.format_string("INFO: Found %s distinct categories", workers),
+        _concat("INFO: Processed ", F.format_number(F.col("event_id") * 37 + 1000, 0), " rows"),
+        _concat("INFO: Found ", workers, " distinct categories"),
     ]
 
 
+def _concat(*parts):
+    return F.concat(*[F.lit(part) if isinstance(part, str) else part for part in parts])
+
+
 # The same rendering in SQL.
 RUNS_SQL = r"""
 rendered AS (
