@@ -35,10 +35,8 @@ def config_fields(configuration: Column) -> Column:
 
 
 def matching_patterns(output: Column, patterns: Sequence[str]) -> Column:
-    """The patterns a log contains, in list order; a missing log contains none."""
-    log = F.coalesce(output, F.lit(""))
-    hits = F.array(*[F.when(F.contains(log, F.lit(p)), F.lit(p)) for p in patterns])
-    return F.filter(hits, lambda hit: hit.isNotNull())
+    """The patterns a log contains, in list order, joined by commas; empty for a missing log."""
+    return F.concat_ws(", ", *[F.when(F.contains(output, F.lit(p)), F.lit(p)) for p in patterns])
 
 
 def severity_rank(severity: Column) -> Column:

@@ -7,32 +7,41 @@ from pyspark.sql import functions as F
 
 from jobgauge.rules import WARNING_MARKERS
 
-# Line and number formats of the run logs.
-LINE_FORMAT = r"^([A-Z]+): (.*)$"
+# Formats of the run logs. Lines are separated by the two characters backslash and n.
+LINE_BREAK = r"\\n"
+LEVEL_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LEVEL_END = ": "
+WARNING = "WARN" + LEVEL_END
 ROWS_FORMAT = r"Processed ([0-9,]+) rows"
 CATEGORIES_FORMAT = r"Found ([0-9,]+) distinct categories"
+SPILL_MARKER = "Shuffle spill"
 SPILL_FORMAT = r"Shuffle spill \(memory\) of ([0-9.]+) GB and \(disk\) of ([0-9.]+) GB"
 
 
 def log_lines(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per log line; lines are separated by the two characters backslash and n."""
-    split = runs.select("job_id", "start_time", *keep, F.posexplode(F.split("output", r"\\n")).alias("line_no", "line"))
-    level = F.regexp_extract("line", LINE_FORMAT, 1)
-    message = F.regexp_extract("line", LINE_FORMAT, 2)
+    """One row per log line, with its level in capitals, if any, and its message."""
+    lines = F.posexplode(F.split("output", LINE_BREAK)).alias("line_no", "line")
+    split = runs.select("job_id", "start_time", *keep, lines)
+    line = F.col("line")
+    head = F.substring_index(line, LEVEL_END, 1)
+    has_level = (head != line) & (head != "") & (F.translate(head, LEVEL_LETTERS, "") == "")
+    message = F.substring(line, F.length(head) + len(LEVEL_END) + 1, F.length(line))
     return split.select(
         "job_id",
         "start_time",
         *keep,
         "line_no",
-        F.when(level != "", level).alias("level"),
-        F.when(level != "", message).otherwise(F.col("line")).alias("message"),
+        F.when(has_level, head).alias("level"),
+        F.when(has_level, message).otherwise(line).alias("message"),
     )
 
 
 def warning_counts(runs: DataFrame, markers: Mapping[str, str] = WARNING_MARKERS) -> DataFrame:
-    """Per job, how many warning lines hold each marker."""
-    warnings = log_lines(runs).filter((F.col("level") == "WARN") & F.col("job_id").isNotNull())
-    counts = [F.count_if(F.contains("message", F.lit(text))).alias(name) for name, text in markers.items()]
+    """Per job, how many warning lines hold each marker. Only the warning lines leave their log."""
+    lines = F.filter(F.split("output", LINE_BREAK), lambda line: line.startswith(WARNING))
+    warned = runs.filter(F.col("job_id").isNotNull() & F.contains("output", F.lit(WARNING)))
+    warnings = warned.select("job_id", F.explode(lines).alias("line"))
+    counts = [F.count_if(F.contains("line", F.lit(text))).alias(name) for name, text in markers.items()]
     return warnings.groupBy("job_id").agg(F.count(F.lit(1)).alias("warnings"), *counts)
 
 
@@ -44,11 +53,17 @@ def log_metrics(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep,
         _whole_number(ROWS_FORMAT).alias("rows_processed"),
         _whole_number(CATEGORIES_FORMAT).alias("distinct_categories"),
-        F.regexp_extract("output", SPILL_FORMAT, 1).try_cast("double").alias("spill_memory_gb"),
-        F.regexp_extract("output", SPILL_FORMAT, 2).try_cast("double").alias("spill_disk_gb"),
+        _spill(1).alias("spill_memory_gb"),
+        _spill(2).alias("spill_disk_gb"),
     )
 
 
 def _whole_number(pattern: str) -> Column:
     digits = F.replace(F.regexp_extract("output", pattern, 1), F.lit(","), F.lit(""))
     return digits.try_cast("bigint")
+
+
+def _spill(group: int) -> Column:
+    """Few logs report a spill, and a plain search rules the others out faster than the pattern."""
+    amount = F.regexp_extract("output", SPILL_FORMAT, group).try_cast("double")
+    return F.when(F.contains("output", F.lit(SPILL_MARKER)), amount)

@@ -92,9 +92,9 @@ def analyze_summary(summary: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAUL
     rated = rated.withColumn("config", config_fields(F.col("configuration")))
     readable = F.col("config.readable")
     few_workers = (F.col("avg_runtime") > rules.high_minutes) & (F.col("config.num_workers") < rules.worker_limit)
-    failed = readable & (F.size("errors") > 0)
+    failed = readable & (F.col("errors") != "")
     text = by_reason(F.lit(R.LONG_RUNNING_TEXT), F.lit(R.SKEW_TEXT), F.lit(R.ACCEPTABLE_TEXT))
-    fix_errors = F.concat(F.lit(R.FIX_ERRORS_SUFFIX), F.array_join("errors", ", "))
+    fix_errors = F.concat(F.lit(R.FIX_ERRORS_SUFFIX), "errors")
     return rated.select(
         "job_id",
         "job_name",

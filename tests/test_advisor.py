@@ -104,7 +104,7 @@ def test_patterns_keep_list_order_and_case(spark):
     logs = ["ERROR: lost", "x OutOfMemoryError: y", "Exception: SparkException", None, ""]
     df = spark.createDataFrame([(i, log) for i, log in enumerate(logs)], "id int, output string")
     found = df.select(matching_patterns(F.col("output"), ADVISOR_DEFAULTS.error_patterns)).collect()
-    assert [r[0] for r in found] == [[], ["OutOfMemoryError", "Error:"], ["SparkException", "Exception:"], [], []]
+    assert [r[0] for r in found] == ["", "OutOfMemoryError, Error:", "SparkException, Exception:", "", ""]
 
 
 def severities(spark, data, rules=ADVISOR_DEFAULTS):

@@ -56,7 +56,7 @@ def first_last_per_job(spark, sf_dir):
         "job_name",
         config["worker_size"].alias("latest_worker_size"),
         config["num_workers"].alias("latest_workers"),
-        F.array_join("errors", ", ").alias("latest_errors"),
+        F.col("errors").alias("latest_errors"),
     )
 
 
@@ -79,7 +79,7 @@ def config_extract(spark, sf_dir):
 @query(with_runs("SELECT run_id, array_to_string(errors, ', ') AS errors_found FROM runs"))
 def error_patterns(spark, sf_dir):
     found = matching_patterns(F.col("output"), RUN_RULES.error_patterns)
-    return runs(spark, sf_dir).select("run_id", F.array_join(found, ", ").alias("errors_found"))
+    return runs(spark, sf_dir).select("run_id", found.alias("errors_found"))
 
 
 @query(with_runs("""
