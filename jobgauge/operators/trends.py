@@ -32,26 +32,26 @@ def throughput_trend(runs: DataFrame, tiebreak: Sequence[str] = (), bucket: str
 
     The previous run is looked up inside (job, time bucket) groups, so a job with a large share of all runs is spread
     over many tasks. The first run of a bucket takes the last value of the job's previous bucket from a table with one
-    row per job and bucket.
+    row per job and bucket. Both read the same shuffle: the logs are searched once.
     """
     metrics = log_metrics(runs, keep=("runtime_minutes", *tiebreak)).filter(F.col("job_id").isNotNull())
-    # A run without a usable rate still is a run: the struct keeps it apart from "no previous run".
-    rate = F.when(F.col("runtime_minutes") > 0, F.col("rows_processed") / F.col("runtime_minutes"))
     order = ["start_time", *tiebreak]
+    rate = F.when(F.col("runtime_minutes") > 0, F.col("rows_processed") / F.col("runtime_minutes"))
     rated = metrics.select(
         "job_id",
         *order,
-        rate.alias("rows_per_minute"),
         F.coalesce(F.date_trunc(bucket, "start_time"), F.lit(0).cast("timestamp")).alias("_bucket"),
-    ).withColumn("_run", F.struct("rows_per_minute"))
+        # A run without a usable rate still is a run: the struct keeps it apart from "no previous run".
+        F.struct(rate.alias("rows_per_minute")).alias("_run"),
+    ).repartition("job_id", "_bucket")
     last = rated.groupBy("job_id", "_bucket").agg(F.max(F.struct(*order, "_run"))["_run"].alias("_last"))
     by_bucket = Window.partitionBy("job_id").orderBy("_bucket")
     before = last.select("job_id", "_bucket", F.lag("_last").over(by_bucket).alias("_before"))
-    in_bucket = Window.partitionBy("job_id", "_bucket").orderBy(*order, "rows_per_minute")
+    in_bucket = Window.partitionBy("job_id", "_bucket").orderBy(*order, "_run")
     previous = F.coalesce(F.col("_previous"), F.col("_before"))["rows_per_minute"]
     return (
         rated.withColumn("_previous", F.lag("_run").over(in_bucket))
         .join(before, ["job_id", "_bucket"])
-        .select("job_id", *order, "rows_per_minute", previous.alias("previous_rows_per_minute"))
+        .select("job_id", *order, "_run.rows_per_minute", previous.alias("previous_rows_per_minute"))
         .withColumn("change", F.col("rows_per_minute") - F.col("previous_rows_per_minute"))
     )
