@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobgauge.sources.scratch import materialized
+
 
 def unique_by_key(dimension: DataFrame, key: str) -> DataFrame:
     """One row per key, the smallest where a key repeats, so that a lookup never multiplies rows."""
@@ -29,19 +31,21 @@ def salted_lookup(
     key: str,
     row_key: Sequence[str],
     salts: int,
-    hot_rows: int | None = None,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """Left join that spreads each fact key over `salts` partitions; the dimension is repeated per salt.
 
-    With `hot_rows`, only keys with more fact rows than that, and NULL keys, are spread, and only their dimension rows
-    are repeated. This costs one more pass over the key column.
+    With `hot_keys`, only that many of the most frequent keys, and NULL, are spread, and only their dimension rows are
+    repeated. No other key can then hold more than one part in `hot_keys` of the rows. Finding them costs one more pass
+    over the key column; their list is bounded by its length, so it is broadcast.
     """
     salt = F.pmod(F.xxhash64(*row_key), F.lit(salts)).cast("int")
     last = F.lit(salts - 1)
     side = unique_by_key(dimension, key)
-    if hot_rows is not None:
-        hot = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-        hot = hot.filter(F.col(key).isNotNull()).select(key, F.lit(True).alias("_hot"))
+    if hot_keys is not None:
+        counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = counts.orderBy(F.desc("_rows"), key).limit(hot_keys).select(key, F.lit(True).alias("_hot"))
+        hot = F.broadcast(materialized(hot))
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
         fact = fact.join(hot, key, "left")
         side = side.join(hot, key, "left")

@@ -11,7 +11,7 @@ from jobgauge import schemas
 
 HEADER = ",".join(schemas.RUNS.fieldNames())
 _STAMP = r"(?:\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})?"
-_LINE = rf'^([^,]*),([^,]*),(.*?),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
+_LINE = rf'^([^,]*+),([^,]*+),(.*?),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
 _MARK = "\u0001"
 _FIELDS = {name: number for number, name in enumerate(schemas.RUNS.fieldNames())}
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -90,14 +91,29 @@ def dimension(spark):
     return spark.createDataFrame([(i, f"R{i}") for i in range(40)] + [(1, "duplicate")], "region_id int, region string")
 
 
-@pytest.mark.parametrize("hot_rows", [None, 500, 0, 10_000])
-def test_salted_lookup_equals_the_plain_one(spark, facts, dimension, hot_rows):
+@pytest.mark.parametrize("hot_keys", [None, 1, 10, 1000])
+def test_salted_lookup_equals_the_plain_one(spark, facts, dimension, hot_keys):
     plain = joins.lookup(facts, dimension, "region_id")
-    salted = joins.salted_lookup(facts, dimension, "region_id", ["id"], 8, hot_rows)
+    salted = joins.salted_lookup(facts, dimension, "region_id", ["id"], 8, hot_keys)
     assert sorted(salted.columns) == sorted(plain.columns)
     assert rows(salted.select(plain.columns)) == rows(plain)
 
 
+def test_salted_rows_of_a_hot_key_spread_over_the_partitions(spark, facts, dimension):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        salted = joins.salted_lookup(facts, dimension, "region_id", ["id"], 32, hot_keys=1)
+        assert "hashpartitioning(region_id, _salt" in re.sub(r"#\d+L?", "", plan(salted))
+        spread = salted.groupBy("region_id", F.spark_partition_id().alias("part")).count()
+        parts = {r.region_id: r["count"] for r in spread.groupBy("region_id").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts[1] > 4 and parts[None] > 4
+    assert {parts[key] for key in parts if key not in (1, None)} == {1}
+
+
 def test_lookup_keeps_rows_and_does_not_multiply_them(spark, facts, dimension):
     looked_up = joins.lookup(facts, dimension, "region_id")
     assert looked_up.count() == 3000

@@ -162,7 +162,7 @@ def region_enrich(spark, sf_dir):
 @query(with_sales("SELECT id, region_id, region, value FROM enriched"))
 def salted_join(spark, sf_dir):
     joined = joins.salted_lookup(
-        sales(spark, sf_dir), regions(spark, sf_dir), "region_id", row_key=["id"], salts=8, hot_rows=1000
+        sales(spark, sf_dir), regions(spark, sf_dir), "region_id", row_key=["id"], salts=8, hot_keys=3
     )
     return joined.select("id", "region_id", "region", "value")
 

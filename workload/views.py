@@ -64,7 +64,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_runs(events: DataFrame) -> DataFrame:
     """Events as job runs: the user is the job, the value its minutes, the event type its node type and log."""
-    kind, workers = F.col("event_type"), F.get_json_object("props", "$.k")
+    kind, workers = F.col("event_type"), F.col("workers")
     configuration = _concat(
         '{"cluster_config": {"driver_node_type_id": "',
         kind,
@@ -75,7 +75,7 @@ def as_runs(events: DataFrame) -> DataFrame:
         "}}",
     )
     seconds = F.floor(F.col("value") * 60).cast("int")
-    return events.select(
+    return events.withColumn("workers", F.get_json_object("props", "$.k")).select(
         F.col("event_id").alias("run_id"),
         F.col("user_id").alias("job_id"),
         _concat(kind, "_job").alias("job_name"),
