@@ -9,6 +9,7 @@ from jobgauge.operators import changes, reports
 from jobgauge.operators.advice import prioritized, suggest, top_priority
 from jobgauge.operators.history import append_history
 from jobgauge.operators.summary import analyze_runs
+from jobgauge.sources.writers import write_table, write_tables
 
 
 def advisor_tables(
@@ -48,9 +49,9 @@ def run_advisor(
     """
     analysis_path = f"{output_path}/analysis"
     computed = analyze_runs(runs, rules, tiebreak)
-    computed.write.mode("overwrite").parquet(analysis_path)
+    write_table(computed, analysis_path)
     analysis = spark.read.schema(computed.schema).parquet(analysis_path)
-    for name, table in advisor_tables(analysis, existing_configs, rules).items():
-        table.write.mode("overwrite").parquet(f"{output_path}/{name}")
+    tables = advisor_tables(analysis, existing_configs, rules)
+    write_tables({f"{output_path}/{name}": table for name, table in tables.items()})
     append_history(analysis, f"{output_path}/history", batch_id)
-    return reports.advisor_status(runs, rules)
+    return reports.advisor_status(runs, analysis)

@@ -9,7 +9,7 @@ from jobgauge.operators.joins import lookup
 from jobgauge.operators.totals import category_metrics, daily_totals, with_running_total
 from jobgauge.rules import SALES_DEFAULTS, SalesRules
 from jobgauge.sources.tables import read_bronze, read_regions
-from jobgauge.sources.writers import export_compact, write_table
+from jobgauge.sources.writers import export_compact, write_table, write_tables
 
 TARGETS = ("main", "daily_agg", "category_metrics", "single_file")
 
@@ -32,8 +32,7 @@ def write_silver(
     """
     write_table(silver, target_paths["main"], partition_by=partition_by)
     main = silver.sparkSession.read.schema(silver.schema).parquet(target_paths["main"])
-    for name, aggregate in aggregate_data(main).items():
-        write_table(aggregate, target_paths[name])
+    write_tables({target_paths[name]: aggregate for name, aggregate in aggregate_data(main).items()})
     export_compact(main, target_paths["single_file"])
     return target_paths
 

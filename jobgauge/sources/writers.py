@@ -1,6 +1,7 @@
 """Table writes."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -27,6 +28,12 @@ def write_table(
     writer.parquet(path)
 
 
+def write_tables(tables: Mapping[str, DataFrame], at_once: int = 4) -> None:
+    """Write several tables, keyed by path. A few jobs run side by side, as a small one leaves most executors idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(lambda path: write_table(tables[path], path), tables))
+
+
 def export_compact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write as few files as the advisory partition size allows: one for small data, many for large data."""
     df.hint("rebalance").write.mode(mode).parquet(path)

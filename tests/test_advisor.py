@@ -51,7 +51,7 @@ def test_golden_suggestions(golden):
     assert [r.job_id for r in advice.prioritized(suggested).collect()] == [1001, 2001, 3001]
     assert advice.top_priority(suggested).first().job_id == 1001
     assert rows(reports.report_summary(analysis)) == [(3, 2, 0)]
-    assert rows(reports.advisor_status(golden)) == [("completed", 3, None)]
+    assert rows(reports.advisor_status(golden, analysis)) == [("completed", 3, None)]
 
 
 def test_literal_suggestions_keep_sizes_and_sort_by_name(golden):
@@ -167,8 +167,8 @@ def test_no_analysable_job_gives_an_empty_table(spark):
     empty = summary.analyze_runs(runs_of(spark, []))
     assert rows(advice.prioritized(advice.suggest(empty))) == []
     assert rows(reports.report_summary(empty)) == [(0, 0, 0)]
-    assert rows(reports.advisor_status(runs_of(spark, []))) == [("failed", None, "No job data loaded")]
-    assert rows(reports.advisor_status(runs_of(spark, [run(1, 5)]))) == [("completed", 0, None)]
+    assert rows(reports.advisor_status(runs_of(spark, []), empty)) == [("failed", None, "No job data loaded")]
+    assert rows(reports.advisor_status(runs_of(spark, [run(1, 5)]), empty)) == [("completed", 0, None)]
 
 
 def test_analysis_shuffles_once_and_without_the_log(golden):

@@ -250,7 +250,7 @@ SELECT 'completed' AS status, count(*) AS suggestions, NULL::varchar AS error
 FROM (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 2)
 """)
 def advisor_status(spark, sf_dir):
-    return reports.advisor_status(runs(spark, sf_dir), RUN_RULES)
+    return reports.advisor_status(runs(spark, sf_dir), _analysis(spark, sf_dir))
 
 
 def _existing_configs(spark, sf_dir):
