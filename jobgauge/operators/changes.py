@@ -1,76 +1,50 @@
 """Configuration changes, hint documents and change descriptions, one row per job."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobgauge import rules as R
 from jobgauge.functions.documents import resized_document
 from jobgauge.functions.runs import one_decimal
 
+CLUSTER = ("driver_size", "worker_size", "num_workers")
+
 
 def config_changeset(suggestions: DataFrame, existing: DataFrame) -> DataFrame:
     """The configuration document each job should have, from its existing one (job_id, content) if any."""
+    cluster = [F.col(f"suggested_config.{name}") for name in CLUSTER]
     joined = suggestions.join(existing.select("job_id", "content"), "job_id", "left")
-    edited = resized_document(
-        F.col("content"),
-        F.col("job_id"),
-        F.col("job_name"),
-        F.col("suggested_config.driver_size"),
-        F.col("suggested_config.worker_size"),
-        F.col("suggested_config.num_workers"),
-    )
     return joined.select(
         "job_id",
-        _text("jobs/%s/job_config.json", "job_id").alias("path"),
+        F.format_string(R.CONFIG_PATH, "job_id").alias("path"),
         F.col("suggested_config.num_workers").alias("num_workers"),
-        edited.alias("edited"),
+        resized_document(F.col("content"), F.col("job_id"), F.col("job_name"), *cluster).alias("edited"),
     ).select("job_id", "path", "num_workers", "edited.action", "edited.content")
 
 
 def hints_documents(suggestions: DataFrame) -> DataFrame:
     """A text per job that has hints."""
-    header = _text("# Optimization Suggestions for %s\n\n## Suggested Code Changes\n\n", "job_name")
-    items = F.transform("code_changes", lambda change: F.concat(F.lit("- "), change, F.lit("\n")))
+    bullets = F.transform("code_changes", lambda hint: F.concat(F.lit(R.HINTS_BULLET), hint, F.lit("\n")))
     return suggestions.filter(F.size("code_changes") > 0).select(
         "job_id",
-        _text("jobs/%s/OPTIMIZATIONS.md", "job_id").alias("path"),
-        F.concat(header, F.array_join(items, "")).alias("content"),
+        F.format_string(R.HINTS_PATH, "job_id").alias("path"),
+        F.concat(F.format_string(R.HINTS_HEADER, "job_name"), F.array_join(bullets, "")).alias("content"),
     )
 
 
 def change_descriptions(suggestions: DataFrame) -> DataFrame:
     """Title and body of the change request of each job."""
-
-    def cluster(title: str, config: str) -> Column:
-        template = f"## {title}\n- Driver Size: %s\n- Worker Size: %s\n- Workers: %s"
-        return _text(template, f"{config}.driver_size", f"{config}.worker_size", f"{config}.num_workers")
-
-    performance = F.format_string(
-        "## Performance Analysis\n- Average Runtime: %s minutes\n- Priority: %s",
-        one_decimal(F.col("avg_runtime")),
-        F.col("severity"),
-    )
-    body = F.concat_ws(
-        "\n\n",
-        F.lit("# Job Optimization PR"),
-        _text("This PR contains suggested optimizations for job **%s**.", "job_name"),
-        cluster("Current Configuration", "current_config"),
-        cluster("Suggested Configuration", "suggested_config"),
-        _text("## Recommendation\n%s", "recommendation"),
-        performance,
-    )
+    clusters = [F.col(f"{config}.{name}") for config in ("current_config", "suggested_config") for name in CLUSTER]
+    average = one_decimal(F.col("avg_runtime"))
     return suggestions.select(
         "job_id",
-        _text("Optimize job %s (ID: %s)", "job_name", "job_id").alias("title"),
-        body.alias("body"),
+        F.format_string(R.CHANGE_TITLE, "job_name", "job_id").alias("title"),
+        F.format_string(R.CHANGE_BODY, "job_name", *clusters, "recommendation", average, "severity").alias("body"),
     )
 
 
 def branch_names(suggestions: DataFrame) -> DataFrame:
     """A branch name per job, stamped with the current time."""
     stamp = F.date_format(F.current_timestamp(), "yyyyMMddHHmmss")
-    name = F.concat_ws("-", F.lit("optimize-job"), F.col("job_id").cast("string"), stamp)
+    name = F.concat_ws("-", F.lit(R.BRANCH_PREFIX), F.col("job_id").cast("string"), stamp)
     return suggestions.select("job_id", name.alias("branch"))
-
-
-def _text(template: str, *columns: str) -> Column:
-    return F.format_string(template, *[F.col(c) for c in columns])

@@ -3,6 +3,9 @@
 from dataclasses import dataclass, field
 
 
+# The defaults of the three rule sets below.
+
+
 @dataclass(frozen=True)
 class SalesRules:
     ingest_min_value: float = 100
@@ -58,6 +61,35 @@ SKEW_HINTS = (
     "Review any aggregations that might cause skew",
 )
 
+# Paths and texts of the change documents. The placeholders of CHANGE_BODY are the job name, the current
+# and the suggested driver size, worker size and worker count, the recommendation, the average and the severity.
+CONFIG_PATH = "jobs/%s/job_config.json"
+HINTS_PATH = "jobs/%s/OPTIMIZATIONS.md"
+HINTS_HEADER = "# Optimization Suggestions for %s\n\n## Suggested Code Changes\n\n"
+HINTS_BULLET = "- "
+BRANCH_PREFIX = "optimize-job"
+CHANGE_TITLE = "Optimize job %s (ID: %s)"
+CHANGE_BODY = """# Job Optimization PR
+
+This PR contains suggested optimizations for job **%s**.
+
+## Current Configuration
+- Driver Size: %s
+- Worker Size: %s
+- Workers: %s
+
+## Suggested Configuration
+- Driver Size: %s
+- Worker Size: %s
+- Workers: %s
+
+## Recommendation
+%s
+
+## Performance Analysis
+- Average Runtime: %s minutes
+- Priority: %s"""
+
 # Known log warnings, by the text that marks them.
 WARNING_MARKERS = {
     "scheduling_delay": "executor scheduling",

@@ -17,8 +17,9 @@ _FIELDS = {name: number for number, name in enumerate(schemas.RUNS.fieldNames())
 
 
 def read_run_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The data lines below `path`, one column `line`."""
-    return spark.read.text(path).select(F.col("value").alias("line")).filter(F.col("line") != HEADER)
+    """The data lines below `path`, one column `line`; headers and blank lines are left out."""
+    line = F.col("line")
+    return spark.read.text(path).select(F.col("value").alias("line")).filter((line != HEADER) & (F.trim(line) != ""))
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

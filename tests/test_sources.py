@@ -127,6 +127,7 @@ def test_scratch_paths_come_from_the_session(spark):
 
 RUN_LINES = [
     run_log.HEADER,
+    "",
     f'7,load,{config(2)},45,2024-03-01 00:00:00,2024-03-01 00:45:00,"INFO: read a, b\\nINFO: said ""done"""',
     '8,no config,,30,2024-03-01 00:00:00,2024-03-01 00:30:00,"INFO: fine"',
     '9,cut config,{"cluster_config": {"num,30.5,2024-03-01 00:00:00,,"INFO: fine"',
