@@ -4,7 +4,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from jobgauge import rules as R
@@ -35,10 +35,12 @@ def monitor_history(
     rules: R.AdvisorRules = R.ADVISOR_DEFAULTS,
     tiebreak: Sequence[str] = (),
     on_analysis: Callable[[DataFrame, int], None] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Process all available files; each trigger appends one snapshot of every job to the history.
 
     The state holds one summary row per job. Snapshots are stored by batch id, so a replayed batch replaces its own.
+    The first start fixes the number of state partitions; the session's shuffle partitions if not given.
     """
 
     def save(summary: DataFrame, batch_id: int) -> None:
@@ -47,14 +49,8 @@ def monitor_history(
         if on_analysis is not None:
             on_analysis(analysis, batch_id)
 
-    return (
-        summarize_runs(runs, rules, tiebreak)
-        .writeStream.outputMode("complete")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = summarize_runs(runs, rules, tiebreak).writeStream.outputMode("complete").foreachBatch(save)
+    return _start(runs.sparkSession, writer, checkpoint_path, state_partitions)
 
 
 def daily_runtimes(runs: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -72,14 +68,28 @@ def daily_runtimes(runs: DataFrame, lateness: str = "1 day") -> DataFrame:
     )
 
 
-def monitor_daily(runs: DataFrame, output_path: str, checkpoint_path: str, lateness: str = "1 day") -> StreamingQuery:
+def monitor_daily(
+    runs: DataFrame,
+    output_path: str,
+    checkpoint_path: str,
+    lateness: str = "1 day",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
     """Append closed days to a Parquet table."""
-    return (
-        daily_runtimes(runs, lateness)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", output_path)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    days = daily_runtimes(runs, lateness)
+    writer = days.writeStream.outputMode("append").format("parquet").option("path", output_path)
+    return _start(runs.sparkSession, writer, checkpoint_path, state_partitions)
+
+
+def _start(
+    spark: SparkSession, writer: DataStreamWriter, checkpoint_path: str, state_partitions: int | None
+) -> StreamingQuery:
+    """Start on all available files. The query keeps the settings the session has now."""
+    writer = writer.option("checkpointLocation", checkpoint_path).trigger(availableNow=True)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, state_partitions or before)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(setting, before)

@@ -382,7 +382,15 @@ def monitor_stream(spark, sf_dir):
     """The last snapshot a stream over the run files leaves in the history."""
     path = scratch_path(spark, "monitor")
     stream = _run_stream(spark, sf_dir)
-    monitor.monitor_history(stream, f"{path}/history", f"{path}/state", RUN_RULES, TIEBREAK).awaitTermination()
+    query = monitor.monitor_history(
+        stream,
+        f"{path}/history",
+        f"{path}/state",
+        RUN_RULES,
+        TIEBREAK,
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
+    query.awaitTermination()
     snapshots = history.read_history(spark, f"{path}/history")
     last = snapshots.agg(F.max("batch_id")).scalar()
     return snapshots.filter(F.col("batch_id") == last).select("job_id", "avg_runtime", "recommendation")
@@ -399,7 +407,10 @@ GROUP BY ALL
 def monitor_daily(spark, sf_dir):
     """The days a stream over the run files has closed."""
     path = scratch_path(spark, "daily")
-    query = monitor.monitor_daily(_run_stream(spark, sf_dir), f"{path}/days", f"{path}/state")
+    partitions = spark.sparkContext.defaultParallelism
+    query = monitor.monitor_daily(
+        _run_stream(spark, sf_dir), f"{path}/days", f"{path}/state", state_partitions=partitions
+    )
     query.awaitTermination()
     days = spark.read.parquet(f"{path}/days").withColumn("day_start", F.col("day_start").cast("timestamp_ntz"))
     return days.drop("day_end")
