@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -36,6 +37,9 @@ def test_query_matches_sql(spark, duck, name):
     columns = [column[0] for column in expected.description]
     assert sorted(df.columns) == sorted(columns)
     assert _sorted(df.collect(), df.columns) == _sorted(expected.fetchall(), columns)
+    text = plan(df)
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    assert ("EvalPython" in text) == (name == "config_changeset")
 
 
 def test_entry(spark):

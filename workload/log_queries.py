@@ -9,14 +9,14 @@ from workload.views import runs, with_runs
 
 
 def _run_lines(spark, sf_dir):
-    """Runs rendered as lines with unquoted JSON. Every ninth has no configuration, every thirteenth a broken start."""
+    """Runs rendered as lines with unquoted JSON; views have no configuration, signups no start that can be read."""
     seconds = "yyyy-MM-dd HH:mm:ss"
-    run_id = F.col("run_id")
-    start = F.when(run_id % 13 == 0, F.lit("soon")).otherwise(F.date_format("start_time", seconds))
+    name = F.col("job_name")
+    start = F.when(name == "signup_job", F.lit("soon")).otherwise(F.date_format("start_time", seconds))
     fields = [
         F.col("job_id").cast("string"),
-        F.col("job_name"),
-        F.when(run_id % 9 == 0, F.lit("")).otherwise(F.col("configuration")),
+        name,
+        F.when(name == "view_job", F.lit("")).otherwise(F.col("configuration")),
         F.col("runtime_minutes").cast("decimal(18,2)").cast("string"),
         start,
         F.date_format("end_time", seconds),
@@ -33,10 +33,10 @@ CONFIGURATION_SQL = """
 
 
 @query(with_runs(f"""
-SELECT job_id, job_name, CASE WHEN run_id % 9 <> 0 THEN {CONFIGURATION_SQL} END AS configuration, runtime_minutes,
+SELECT job_id, job_name, CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} END AS configuration, runtime_minutes,
        date_trunc('second', start_time) AS start_time, date_trunc('second', end_time) AS end_time,
        array_to_string(log_list, '\\n') AS output
-FROM runs WHERE run_id % 13 <> 0
+FROM runs WHERE kind <> 'signup'
 """))
 def job_runs_parse(spark, sf_dir):
     parsed = parse_run_lines(_run_lines(spark, sf_dir))
@@ -44,10 +44,10 @@ def job_runs_parse(spark, sf_dir):
 
 
 @query(with_runs(f"""
-SELECT job_id || ',' || job_name || ',' || CASE WHEN run_id % 9 <> 0 THEN {CONFIGURATION_SQL} ELSE '' END || ','
+SELECT job_id || ',' || job_name || ',' || CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} ELSE '' END || ','
        || runtime_minutes::decimal(18,2) || ',soon,' || strftime(end_time, '%Y-%m-%d %H:%M:%S') || ',"'
        || array_to_string(log_list, '\\n') || '"' AS line
-FROM runs WHERE run_id % 13 = 0
+FROM runs WHERE kind = 'signup'
 """))
 def job_runs_rejected(spark, sf_dir):
     return rejected_run_lines(_run_lines(spark, sf_dir))

@@ -25,21 +25,22 @@ def _as_double(df, *columns):
 def _source_rows(spark, sf_dir):
     """Events as rows of the sales source: text dates, a region name, mixed-case categories."""
     kind = F.col("event_type")
+    number = F.get_json_object("props", "$.k")
     return table(spark, sf_dir, "events").select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.concat(F.lit("R"), F.pmod("user_id", F.lit(7)).cast("string")).alias("region"),
+        F.concat(F.lit("R"), number).alias("region"),
         F.when(kind != "error", F.initcap(kind)).alias("category"),
         "value",
-        F.pmod("user_id", F.lit(6)).cast("int").alias("region_id"),
+        number.cast("int").alias("region_id"),
     )
 
 
 SOURCE_SQL = """
 source AS (
-    SELECT strftime(ts, '%Y-%m-%d') AS date, 'R' || (user_id % 7)::varchar AS region,
+    SELECT strftime(ts, '%Y-%m-%d') AS date, 'R' || json_extract(props, '$.k')::varchar AS region,
            CASE WHEN event_type <> 'error'
                 THEN upper(event_type[1]) || event_type[2:] END AS category,
-           "value", (user_id % 6)::int AS region_id
+           "value", json_extract(props, '$.k')::int AS region_id
     FROM events
 ),
 first_regions AS (SELECT region AS ref_region FROM source ORDER BY date, region LIMIT 10),
