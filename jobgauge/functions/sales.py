@@ -5,28 +5,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from jobgauge import schemas
-
 
 def parse_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
     """Timestamp from text; NULL where the text does not fit the pattern."""
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
-def numeric_value(value: Column) -> Column:
-    """Double from any column type; NULL where text is not a number."""
-    return value.try_cast("double")
-
-
-def exact_sum(value: Column) -> Column:
-    """Sum through a decimal, so that the result does not depend on the row order."""
-    return F.sum(value.cast(schemas.MONEY))
-
-
-def exact_avg(value: Column) -> Column:
-    return exact_sum(value).cast("double") / F.count(value)
-
-
 def tax_rate(region: Column, rates: Mapping[str, float], default: float) -> Column:
     """The rate of a region; the default for other regions and for NULL."""
     rate = F.lit(None).cast("double")

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobgauge.functions.sales import month_name, numeric_value, tax_rate, year_text
+from jobgauge.functions.numbers import finite_number
+from jobgauge.functions.sales import month_name, tax_rate, year_text
 from jobgauge.rules import SALES_DEFAULTS, SalesRules
 
 
@@ -16,7 +17,7 @@ def priority_regions(df: DataFrame, rules: SalesRules = SALES_DEFAULTS) -> DataF
 
 
 def add_tax(df: DataFrame, rules: SalesRules = SALES_DEFAULTS) -> DataFrame:
-    value = numeric_value(F.col("value"))
+    value = finite_number(F.col("value"))
     rate = tax_rate(F.col("region"), rules.tax_rates, rules.default_tax_rate)
     return df.withColumn("tax_rate", rate).withColumns(
         {"tax_amount": value * F.col("tax_rate"), "value_with_tax": value + value * F.col("tax_rate")}

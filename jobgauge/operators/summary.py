@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobgauge import rules as R
 from jobgauge import schemas
+from jobgauge.functions.numbers import exact_avg, finite_number
 from jobgauge.functions.runs import config_fields, matching_patterns
 
 
@@ -15,11 +16,10 @@ def prepare_runs(runs: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS, ti
 
     Logs are searched here, so only the few matches of a log, never its text, reach a shuffle.
     """
-    minutes = F.col("runtime_minutes").try_cast("double")
     return runs.filter(F.col("job_id").isNotNull()).select(
         "job_id",
         "job_name",
-        F.when(~F.isnan(minutes), minutes).alias("runtime_minutes"),
+        finite_number(F.col("runtime_minutes")).alias("runtime_minutes"),
         "start_time",
         *tiebreak,
         "configuration",
@@ -29,10 +29,9 @@ def prepare_runs(runs: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS, ti
 
 def runtime_columns() -> list[Column]:
     minutes = F.col("runtime_minutes")
-    total = F.sum(minutes.cast(schemas.MINUTES)).cast("double")
     return [
         F.count(F.lit(1)).alias("runs"),
-        (total / F.count(minutes)).alias("avg_runtime"),
+        exact_avg(minutes, schemas.MINUTES).alias("avg_runtime"),
         F.max(minutes).alias("max_runtime"),
         F.min(minutes).alias("min_runtime"),
     ]

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobgauge.functions.sales import exact_avg, exact_sum
+from jobgauge import schemas
+from jobgauge.functions.numbers import exact_avg, exact_sum
 from jobgauge.sources.scratch import materialized
 
 
@@ -11,8 +12,8 @@ def daily_totals(df: DataFrame) -> DataFrame:
     """Total, average and row count per date and region."""
     value = F.col("value")
     return df.groupBy("data_date", "region").agg(
-        exact_sum(value).alias("total_value"),
-        exact_avg(value).alias("avg_value"),
+        exact_sum(value, schemas.MONEY).alias("total_value"),
+        exact_avg(value, schemas.MONEY).alias("avg_value"),
         F.count(F.lit(1)).alias("transaction_count"),
     )
 
@@ -22,7 +23,7 @@ def category_metrics(df: DataFrame) -> DataFrame:
     return (
         df.filter(F.col("category").isNotNull())
         .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("count"), exact_sum(F.col("value")).alias("category_total"))
+        .agg(F.count(F.lit(1)).alias("count"), exact_sum(F.col("value"), schemas.MONEY).alias("category_total"))
     )
 
 

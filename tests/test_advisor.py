@@ -124,6 +124,7 @@ def test_edge_jobs(spark):
     data += [run(9, 4, 2, output="Error: x"), run(9, 13, 1)]  # a skewed job whose latest run failed
     data += [run(10, None), run(10, 10, 2)]  # one runtime missing still makes two runs
     data += [run(11, 10), (11, "x", config(2), float("nan"), None, None, None)]
+    data += [run(12, 10), run(12, 10, 2), (12, "x", config(2), float("inf"), None, None, None)]
     ok, skew = "Performance acceptable", "Job has inconsistent performance, check for data skew"
     long = "Consider increasing cluster size or optimizing code"
     assert severities(spark, data) == {
@@ -137,6 +138,7 @@ def test_edge_jobs(spark):
         9: ("HIGH", skew + "; fix errors: Error:"),
         10: ("LOW", ok),
         11: ("LOW", ok),
+        12: ("LOW", ok),
     }
 
 

@@ -71,6 +71,13 @@ def test_daily_totals_do_not_depend_on_the_row_order(spark):
     assert results[0] == results[1] and results[0][0][2] == decimal.Decimal("7.5")
 
 
+def test_totals_leave_out_what_is_no_number(spark):
+    values = [1.0, 3.0, None, float("nan"), float("inf")]
+    df = spark.createDataFrame([(DAY[0], "EAST", v) for v in values], "data_date timestamp, region string, value double")
+    assert rows(totals.daily_totals(df)) == [(DAY[0], "EAST", decimal.Decimal(4), 2.0, 5)]
+    assert [r.tax_amount for r in business.add_tax(df).collect()] == [0.09, 0.27, None, None, None]
+
+
 def test_top_days(spark, sales):
     daily = totals.daily_totals(sales)
     top = totals.top_days(daily, 3)

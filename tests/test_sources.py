@@ -41,6 +41,13 @@ def test_csv_without_schema_reads_text(spark, sales_csv):
     assert filter_min_value(df, 100).count() == 3
 
 
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(10,2)"])
+def test_only_finite_numbers_pass_the_filter(spark, kind):
+    texts = ["100", "100.01", "1e3", None] + ([] if "decimal" in kind else ["NaN", "Infinity", "-Infinity"])
+    df = spark.createDataFrame([(t,) for t in texts], "value string").select(F.col("value").cast(kind))
+    assert filter_min_value(df, 100).count() == 2
+
+
 def test_csv_with_schema_turns_bad_fields_into_null(spark, sales_csv):
     values = [r.value for r in read_source(spark, sales_csv, "csv", schemas.SALES).collect()]
     assert values == [100.5, 250.0, 300.0, None, 100.0, None]
