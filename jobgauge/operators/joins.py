@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobgauge.sources.scratch import materialized
+from jobgauge.sources.scratch import written
 
 
 def unique_by_key(dimension: DataFrame, key: str) -> DataFrame:
@@ -45,7 +45,7 @@ def salted_lookup(
     if hot_keys is not None:
         counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         hot = counts.orderBy(F.desc("_rows"), key).limit(hot_keys).select(key, F.lit(True).alias("_hot"))
-        hot = F.broadcast(materialized(hot))
+        hot = F.broadcast(written(hot, "hot-keys"))
         is_hot = F.coalesce(F.col("_hot"), F.lit(False))
         fact = fact.join(hot, key, "left")
         side = side.join(hot, key, "left")

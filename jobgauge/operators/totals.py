@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from jobgauge import schemas
 from jobgauge.functions.numbers import exact_avg, exact_sum
-from jobgauge.sources.scratch import materialized
+from jobgauge.sources.scratch import written
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
@@ -31,9 +31,9 @@ def with_running_total(daily: DataFrame) -> DataFrame:
     """Add the total of all rows up to and including each date; rows of one date share it.
 
     Prefix sum in two levels. Windows run inside one month each; the only unpartitioned window sees one row per month.
-    The aggregate is needed twice, so it is computed once and kept in the checkpoint folder.
+    The aggregate is needed twice, so it is computed once and kept in the scratch space.
     """
-    daily = materialized(daily)
+    daily = written(daily, "daily")
     month = F.trunc(F.col("data_date").cast("date"), "month")
     per_date = daily.groupBy("data_date").agg(F.sum("total_value").alias("_total")).withColumn("_month", month)
     in_month = Window.partitionBy("_month").orderBy("data_date")

@@ -1,31 +1,37 @@
-"""Shared scratch space for intermediate tables and checkpoints."""
+"""Shared scratch space for intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if root is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="jobgauge-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root
+    """The folder named by spark.checkpoint.dir; a folder of the warehouse, which is shared too, where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch root, removed when the session's JVM ends."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    file_system, hadoop_path = _hadoop(spark, path)
+    file_system.deleteOnExit(hadoop_path)
+    return path
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Compute `df` once and read it back from the shared checkpoint folder."""
-    spark = df.sparkSession
-    scratch_root(spark)
-    return df.checkpoint(eager=True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a path that nothing reads any more."""
+    file_system, hadoop_path = _hadoop(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the scratch space and read back: computed once, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

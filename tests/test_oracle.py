@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from helpers import plan
+from workload.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,7 +31,7 @@ def _sorted(records, columns):
     return sorted((tuple(_normal(record[i]) for i in order) for record in records), key=repr)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     expected = duck.execute(entry.oracle_sql()[name])
