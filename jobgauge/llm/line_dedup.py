@@ -63,7 +63,8 @@ def dedup_lines(documents: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .select(F.struct("row", "removed").alias("_hit"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("_hit.row.doc_id")) & (F.xxhash64("text") == F.col("_hit.row.text"))
-    marked = documents.join(hits, same, "left").withColumn("_lines", F.split("text", "\n", -1))
+    # The hits grow with the documents, so they are never broadcast: the plan is the same at every size.
+    marked = documents.join(hits.hint("shuffle_merge"), same, "left").withColumn("_lines", F.split("text", "\n", -1))
     # array_except works by hashing, so that a long document with many removed lines stays linear.
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_hit.removed"))
     rebuilt = F.concat_ws("\n", F.transform(kept, lambda i: F.get("_lines", i)))
