@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgauge.llm import chat_format, line_dedup, mixing
+from jobgauge.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, substring_dedup, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,3 +157,190 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(documents).drop("source")
+
+
+@query(
+    rf"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ),
+    shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+        FROM words
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    rare AS (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1),
+    shared AS (SELECT * FROM shingles SEMI JOIN rare USING (s)),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shared a JOIN shared b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+    ),
+    links AS (
+        SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+        WITH RECURSIVE r(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, w.b FROM r JOIN both_ways w ON r.b = w.a)
+        SELECT a, min(b) AS least FROM r GROUP BY a
+    )
+    SELECT words.doc_id, coalesce(n, 0) AS n_shingles, least(words.doc_id, coalesce(reach.least, words.doc_id)) AS component_id
+    FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.a = words.doc_id
+    """
+)
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    rf"""
+    WITH items AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark WHERE text IS NOT NULL
+    ),
+    windows AS (
+        SELECT DISTINCT item, least(len(w), 10) AS k, unnest(CASE WHEN len(w) < 10 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' ')) END) AS s
+        FROM items WHERE len(w) > 0
+    ),
+    words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ),
+    lengths AS (SELECT DISTINCT k FROM windows),
+    places AS (
+        SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM words, lengths WHERE len(w) >= k
+    ),
+    hits AS (
+        SELECT doc_id, p.k, i, item FROM places p JOIN windows x ON x.k = p.k AND x.s = array_to_string(w[i:i + p.k - 1], ' ')
+    ),
+    covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM hits) GROUP BY 1),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """
+)
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hit_digest(decontaminate.find_contamination(documents, table(spark, sf_dir, "benchmark")))
+
+
+def hit_digest(found: DataFrame) -> DataFrame:
+    n_hit = F.aggregate("_spans", F.lit(0), lambda total, span: total + span["end"] - span["first"]).cast("long")
+    return found.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
+    return quality.score_quality(documents, model).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query(
+    """
+    WITH vectors AS (
+        SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.vec_id AS query_id, b.vec_id,
+               CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+        FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
+    ),
+    ranked AS (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(embeddings, F.col("vec_id") % 20 == 0, 20)
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return span_digest(secret_scan.scan_secrets(documents, secret_scan.fit_secret_net(documents)))
+
+
+def span_digest(scanned: DataFrame) -> DataFrame:
+    def joined(spans: str) -> F.Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select(
+        "doc_id", *map(count, ("assign", "access", "hex")), F.sha2(joined("_base"), 256).alias("base_sha256"), joined("_spans").alias("spans")
+    )
+
+
+@query(
+    rf"""
+    WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+    ),
+    later AS (
+        SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM windows)
+        WHERE r > 1
+    ),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+    placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+    kept AS (
+        SELECT p.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p.i) AS text
+        FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id
+    )
+    SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+    """
+)
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(documents).select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+@query()
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    replaced = pii.replace_pii(documents, key=b"surrogates of the test tables")
+    return replaced.select(
+        "doc_id",
+        F.size("_entities").cast("long").alias("n_entities"),
+        F.concat_ws(",", F.transform("_entities", lambda e: F.concat_ws(":", e["kind"], e["start"], e["end"]))).alias("spans"),
+        "text",
+    )

@@ -26,6 +26,11 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 
 
+def fold(data: np.ndarray) -> np.ndarray:
+    """Bytes with A to Z in lower case."""
+    return _FOLD[data]
+
+
 @dataclass
 class Words:
     """Words of several texts: word w is `data[start[w]:end[w]]`, text i has the words `first[i]` to `first[i + 1]`."""
@@ -78,7 +83,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: int, count: int) -> np.ndarray:
+def powers(base: int, count: int) -> np.ndarray:
+    """At least `count` powers of an odd number modulo 2^64, from the first one on."""
     known = _POWERS.get(base)
     if known is None or len(known) < count:
         known = np.full(max(count, _HASH_BYTES + 1), U64(base & (2**64 - 1)))
@@ -96,9 +102,9 @@ def word_hashes(words: Words) -> np.ndarray:
         origin = int(words.start[low])
         high = max(low + 1, int(np.searchsorted(words.end, origin + _HASH_BYTES, "right")))
         part = words.data[origin : words.end[high - 1]].astype(U64) + U64(1)
-        prefix = np.concatenate(([U64(0)], np.cumsum(part * _powers(_BASE, len(part))[: len(part)], dtype=U64)))
+        prefix = np.concatenate(([U64(0)], np.cumsum(part * powers(_BASE, len(part))[: len(part)], dtype=U64)))
         start, end = words.start[low:high] - origin, words.end[low:high] - origin
-        value = (prefix[end] - prefix[start]) * _powers(inverse, len(part) + 1)[start]
+        value = (prefix[end] - prefix[start]) * powers(inverse, len(part) + 1)[start]
         result[low:high] = mixed(value + (end - start).astype(U64) * _STEP)
         low = high
     return result
