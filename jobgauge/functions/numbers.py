@@ -1,8 +1,10 @@
-"""Column expressions of numbers."""
+"""Numbers: column expressions and a filter."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobgauge.schemas import EXACT
+
 INFINITY = float("inf")
 
 
@@ -12,10 +14,31 @@ def finite_number(value: Column) -> Column:
     return F.when(F.abs(number) < INFINITY, number)
 
 
-def exact_sum(value: Column, exact_type: str) -> Column:
-    """Sum through a decimal type, so that the result does not depend on the row order."""
-    return F.sum(value.cast(exact_type))
+def exact_number(value: Column) -> Column:
+    """The number as a wide decimal; NULL where `finite_number` is, and for numbers that do not fit."""
+    return finite_number(value).try_cast(EXACT)
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum through a wide decimal, so that the result does not depend on the row order; see `misfits`."""
+    return F.try_sum(exact_number(value))
+
+
+def exact_avg(value: Column) -> Column:
+    return exact_sum(value).cast("double") / F.nullif(F.count(exact_number(value)), F.lit(0))
+
+
+def misfits(value: Column) -> Column:
+    """How many values are not NULL and take no part in `exact_sum`."""
+    return F.count_if(value.isNotNull() & exact_number(value).isNull())
+
 
+def filter_min_value(df: DataFrame, minimum: float, column: str = "value") -> DataFrame:
+    """Rows above `minimum`; NULL, NaN, infinities and text that is not a number drop out.
 
-def exact_avg(value: Column, exact_type: str) -> Column:
-    return exact_sum(value, exact_type).cast("double") / F.count(value.cast(exact_type))
+    Plain comparisons with a numeric column reach the scan.
+    """
+    kind = dict(df.dtypes)[column]
+    value = finite_number(F.col(column)) if kind == "string" else F.col(column)
+    above = value > minimum
+    return df.filter(above & (value < INFINITY) if kind in ("double", "float") else above)

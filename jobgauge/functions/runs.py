@@ -8,30 +8,31 @@ from pyspark.sql import functions as F
 SEVERITY_RANKS = {"HIGH": 0, "MEDIUM": 1}
 
 
+_CONFIGURATION = "array<struct<cluster_config: struct<driver_node_type_id: string, node_type_id: string, num_workers: string>>>"
+
+
 def config_fields(configuration: Column) -> Column:
     """Struct (readable, driver_size, worker_size, num_workers) of a JSON configuration.
 
-    `readable` is false for NULL, malformed and non-object documents; their fields, and missing ones, get defaults.
-    Wrapping the text in brackets makes trailing content a syntax error, which the plain parser would ignore.
+    `readable` is false for NULL, malformed and non-object documents; their fields, and missing ones, get defaults. Of a
+    repeated key the last one counts. Wrapping the text in brackets makes trailing content a syntax error, which the
+    plain parser would ignore. The document is parsed once: the array function binds it to a variable.
     """
-    document = F.try_parse_json(F.concat(F.lit("["), configuration, F.lit("]")))
-    readable = F.coalesce(
-        document.isNotNull()
-        & F.trim(configuration).like("{%}")
-        & F.try_variant_get(document, "$[1]", "variant").isNull(),
-        F.lit(False),
-    )
-
-    def field(name: str, kind: str, default) -> Column:
-        value = F.try_variant_get(document, f"$[0].cluster_config.{name}", kind)
-        return F.coalesce(F.when(readable, value), F.lit(default))
-
-    return F.struct(
-        readable.alias("readable"),
-        field("driver_node_type_id", "string", "unknown").alias("driver_size"),
-        field("node_type_id", "string", "unknown").alias("worker_size"),
-        field("num_workers", "int", 0).alias("num_workers"),
-    )
+    documents = F.from_json(F.concat(F.lit("["), configuration, F.lit("]")), _CONFIGURATION, {"allowSingleQuotes": "false"})
+    is_object = F.coalesce(F.trim(configuration).like("{%}"), F.lit(False))
+
+    def fields(found: Column) -> Column:
+        readable = is_object & F.coalesce(F.size(found) == 1, F.lit(False))
+        cluster = F.when(readable, F.get(found, F.lit(0))["cluster_config"])
+        workers = cluster["num_workers"].try_cast("double").try_cast("int")
+        return F.struct(
+            readable.alias("readable"),
+            F.coalesce(cluster["driver_node_type_id"], F.lit("unknown")).alias("driver_size"),
+            F.coalesce(cluster["node_type_id"], F.lit("unknown")).alias("worker_size"),
+            F.coalesce(workers, F.lit(0)).alias("num_workers"),
+        )
+
+    return F.get(F.transform(F.array(documents), fields), F.lit(0))
 
 
 def matching_patterns(output: Column, patterns: Sequence[str]) -> Column:

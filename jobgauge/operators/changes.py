@@ -11,9 +11,12 @@ CLUSTER = ("driver_size", "worker_size", "num_workers")
 
 
 def config_changeset(suggestions: DataFrame, existing: DataFrame) -> DataFrame:
-    """The configuration document each job should have, from its existing one (job_id, content) if any."""
+    """The configuration document each job should have, from its existing one (job_id, content) if any.
+
+    Of several documents of a job the smallest that is not NULL counts.
+    """
     cluster = [F.col(f"suggested_config.{name}") for name in CLUSTER]
-    joined = suggestions.join(existing.select("job_id", "content"), "job_id", "left")
+    joined = suggestions.join(existing.groupBy("job_id").agg(F.min("content").alias("content")), "job_id", "left")
     return joined.select(
         "job_id",
         F.format_string(R.CONFIG_PATH, "job_id").alias("path"),
@@ -43,6 +46,34 @@ def change_descriptions(suggestions: DataFrame) -> DataFrame:
     )
 
 
+def change_request(suggestions: DataFrame, existing: DataFrame) -> DataFrame:
+    """Everything a change request of a job consists of: branch, title, body, documents and commit messages."""
+    documents = config_changeset(suggestions, existing)
+    action = F.col("action")
+    message = F.lit(R.COMMIT_TEXTS["create"])
+    for name, text in R.COMMIT_TEXTS.items():
+        message = F.when(action == name, F.lit(text)).otherwise(message)
+    committed = documents.select(
+        "job_id",
+        F.col("path").alias("config_path"),
+        action.alias("config_action"),
+        F.col("content").alias("config_content"),
+        F.replace(message, F.lit("%s"), F.col("job_id").cast("string")).alias("config_message"),
+    )
+    hints = hints_documents(suggestions).select(
+        "job_id",
+        F.col("path").alias("hints_path"),
+        F.col("content").alias("hints_content"),
+        F.format_string(R.HINTS_COMMIT_TEXT, "job_id").alias("hints_message"),
+    )
+    return (
+        change_descriptions(suggestions)
+        .join(branch_names(suggestions), "job_id")
+        .join(committed, "job_id")
+        .join(hints, "job_id", "left")
+    )
+
+
 def branch_names(suggestions: DataFrame) -> DataFrame:
     """A branch name per job, stamped with the current time."""
     stamp = F.date_format(F.current_timestamp(), "yyyyMMddHHmmss")

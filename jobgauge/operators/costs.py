@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
-from jobgauge import schemas
+from jobgauge.functions.numbers import exact_sum, finite_number, misfits
 from jobgauge.functions.runs import config_fields, run_cost
 
 
@@ -17,24 +17,28 @@ def job_cost(analysis: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS) ->
 def full_run_cost(runs: DataFrame, thresholds: R.ConfiguredThresholds = R.CONFIGURED_DEFAULTS) -> DataFrame:
     """Each run with its worker and driver cost."""
     hourly = F.col("num_workers") * thresholds.worker_hourly_rate + thresholds.driver_hourly_rate
-    return (
-        runs.withColumn("num_workers", config_fields(F.col("configuration"))["num_workers"])
-        .withColumn("run_cost", hourly * F.col("runtime_minutes") / 60)
+    minutes = finite_number(F.col("runtime_minutes"))
+    return runs.withColumn("num_workers", config_fields(F.col("configuration"))["num_workers"]).withColumn(
+        "run_cost", hourly * minutes / 60
     )
 
 
 def full_job_cost(runs: DataFrame, thresholds: R.ConfiguredThresholds = R.CONFIGURED_DEFAULTS) -> DataFrame:
-    """Worker and driver cost of all runs of a job, from exact sums of minutes and worker minutes."""
-    minutes = F.col("runtime_minutes").cast(schemas.MINUTES)
+    """Worker and driver cost of all runs of a job, from exact sums of minutes and worker minutes.
+
+    Runtimes that are not numbers, or too large for the sums, cost nothing and are counted.
+    """
+    minutes = finite_number(F.col("runtime_minutes"))
     workers = config_fields(F.col("configuration"))["num_workers"]
     sums = (
         runs.filter(F.col("job_id").isNotNull())
-        .select("job_id", minutes.alias("minutes"), (minutes * workers).alias("worker_minutes"))
+        .select("job_id", "runtime_minutes", minutes.alias("minutes"), (minutes * workers).alias("worker_minutes"))
         .groupBy("job_id")
         .agg(
             F.count(F.lit(1)).alias("runs"),
-            F.sum("minutes").cast("double").alias("minutes"),
-            F.sum("worker_minutes").cast("double").alias("worker_minutes"),
+            exact_sum(F.col("minutes")).cast("double").alias("minutes"),
+            exact_sum(F.col("worker_minutes")).cast("double").alias("worker_minutes"),
+            misfits(F.col("runtime_minutes")).alias("runtime_misfits"),
         )
     )
     cost = (

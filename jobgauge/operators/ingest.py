@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobgauge.functions.numbers import INFINITY, finite_number
+from jobgauge.functions.numbers import filter_min_value
 from jobgauge.functions.sales import distinct_with_null, parse_date
 from jobgauge.rules import SALES_DEFAULTS, SalesRules
 
@@ -23,17 +23,6 @@ def cross_reference(
     return paired.withColumn(alias, F.col("_value.v")).drop("_reference", "_value")
 
 
-def filter_min_value(df: DataFrame, minimum: float, column: str = "value") -> DataFrame:
-    """Rows above `minimum`; NULL, NaN, infinities and text that is not a number drop out.
-
-    Plain comparisons with a numeric column reach the scan.
-    """
-    kind = dict(df.dtypes)[column]
-    value = finite_number(F.col(column)) if kind == "string" else F.col(column)
-    above = value > minimum
-    return df.filter(above & (value < INFINITY) if kind in ("double", "float") else above)
-
-
 def transform_sales(
     source: DataFrame,
     rules: SalesRules = SALES_DEFAULTS,

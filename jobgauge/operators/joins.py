@@ -9,10 +9,19 @@ from jobgauge.sources.scratch import written
 
 
 def unique_by_key(dimension: DataFrame, key: str) -> DataFrame:
-    """One row per key, the smallest where a key repeats, so that a lookup never multiplies rows."""
+    """One row per key, so that a lookup never multiplies rows; see `repeated_keys` for what it leaves out.
+
+    Where a key repeats, the row with the fewest NULLs stays, then the smallest.
+    """
     others = [c for c in dimension.columns if c != key]
-    smallest = dimension.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
-    return smallest.select(key, "_row.*")
+    nulls = sum((F.col(c).isNull().cast("int") for c in others), F.lit(0))
+    best = dimension.groupBy(key).agg(F.min(F.struct(nulls.alias("_nulls"), F.struct(*others).alias("_row"))).alias("_best"))
+    return best.select(key, "_best._row.*")
+
+
+def repeated_keys(dimension: DataFrame, key: str) -> DataFrame:
+    """The keys with several rows and their number: all but one row of each take no part in a `lookup`."""
+    return dimension.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
 def lookup(fact: DataFrame, dimension: DataFrame, key: str, unique: bool = True) -> DataFrame:
@@ -31,11 +40,11 @@ def salted_lookup(
     key: str,
     row_key: Sequence[str],
     salts: int,
-    hot_keys: int | None = None,
+    hot_keys: int | None,
 ) -> DataFrame:
     """Left join that spreads each fact key over `salts` partitions; the dimension is repeated per salt.
 
-    With `hot_keys`, only that many of the most frequent keys, and NULL, are spread, and only their dimension rows are
+    `hot_keys=None` repeats every dimension row, which is for small dimensions only. With a number, only that many of the most frequent keys, and NULL, are spread, and only their dimension rows are
     repeated. No other key can then hold more than one part in `hot_keys` of the rows. Finding them costs one more pass
     over the key column; their list is bounded by its length, so it is broadcast.
     """

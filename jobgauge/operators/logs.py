@@ -37,12 +37,18 @@ def log_lines(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def warning_counts(runs: DataFrame, markers: Mapping[str, str] = WARNING_MARKERS) -> DataFrame:
-    """Per job, how many warning lines hold each marker. Only the warning lines leave their log."""
+    """Per job, how many warning lines hold each marker; 0 for jobs without warnings. Lines are counted in their log."""
     lines = F.filter(F.split("output", LINE_BREAK), lambda line: line.startswith(WARNING))
-    warned = runs.filter(F.col("job_id").isNotNull() & F.contains("output", F.lit(WARNING)))
-    warnings = warned.select("job_id", F.explode(lines).alias("line"))
-    counts = [F.count_if(F.contains("line", F.lit(text))).alias(name) for name, text in markers.items()]
-    return warnings.groupBy("job_id").agg(F.count(F.lit(1)).alias("warnings"), *counts)
+    warnings = F.when(F.contains("output", F.lit(WARNING)), lines)
+    found = runs.filter(F.col("job_id").isNotNull()).select("job_id", warnings.alias("lines"))
+
+    def held(text: str) -> Column:
+        return F.size(F.filter("lines", lambda line: F.contains(line, F.lit(text))))
+
+    counts = {"warnings": F.size("lines"), **{name: held(text) for name, text in markers.items()}}
+    return found.groupBy("job_id").agg(
+        *[F.sum(F.when(F.col("lines").isNull(), 0).otherwise(count)).alias(name) for name, count in counts.items()]
+    )
 
 
 def log_metrics(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,6 +1,6 @@
 """Report tables, chart data and the status record."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
@@ -58,11 +58,22 @@ def chart_cost(analysis: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS)
 def advisor_status(runs: DataFrame, analysis: DataFrame) -> DataFrame:
     """One row: completed with the number of suggestions, or failed for want of data.
 
-    Of the runs only the first row is read.
+    Of the runs one row is read at most, when the result is.
     """
-    loaded = F.lit(not runs.isEmpty())
-    return analysis.agg(F.count(F.lit(1)).alias("found")).select(
-        F.when(loaded, F.lit("completed")).otherwise(F.lit("failed")).alias("status"),
-        F.when(loaded, F.col("found")).alias("suggestions"),
-        F.when(~loaded, F.lit("No job data loaded")).alias("error"),
+    first = runs.limit(1).agg(F.count(F.lit(1)).alias("rows"))
+    found = analysis.agg(F.count(F.lit(1)).alias("found")).withColumn("loaded", first.scalar() > 0)
+    return found.select(
+        F.when(F.col("loaded"), F.lit("completed")).otherwise(F.lit("failed")).alias("status"),
+        F.when(F.col("loaded"), F.col("found")).alias("suggestions"),
+        F.when(~F.col("loaded"), F.lit(R.NO_DATA_TEXT)).alias("error"),
+    )
+
+
+def failed_status(spark: SparkSession) -> DataFrame:
+    """The status row of a run without data."""
+    nothing = spark.range(1)
+    return nothing.select(
+        F.lit("failed").alias("status"),
+        F.lit(None).cast("bigint").alias("suggestions"),
+        F.lit(R.NO_DATA_TEXT).alias("error"),
     )

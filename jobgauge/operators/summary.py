@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
-from jobgauge import schemas
-from jobgauge.functions.numbers import exact_avg, finite_number
+from jobgauge.functions.numbers import exact_avg, finite_number, misfits
 from jobgauge.functions.runs import config_fields, matching_patterns
 
 
@@ -31,19 +30,21 @@ def runtime_columns() -> list[Column]:
     minutes = F.col("runtime_minutes")
     return [
         F.count(F.lit(1)).alias("runs"),
-        exact_avg(minutes, schemas.MINUTES).alias("avg_runtime"),
+        exact_avg(minutes).alias("avg_runtime"),
         F.max(minutes).alias("max_runtime"),
         F.min(minutes).alias("min_runtime"),
+        misfits(minutes).alias("runtime_misfits"),
     ]
 
 
 def boundary_columns(tiebreak: Sequence[str] = ()) -> list[Column]:
-    """First name, latest configuration and latest errors by (start_time, tiebreak).
+    """First name, latest configuration and latest errors by (start_time, tiebreak); a run without a start is neither,
+    unless no run has one.
 
     The values end the ordering struct, so ties left by the order columns resolve the same way in every run.
     """
     order = ["start_time", *tiebreak]
-    first = F.min(F.struct(*order, "job_name"))
+    first = F.min(F.struct(F.col("start_time").isNull().alias("undated"), *order, "job_name"))
     latest = F.max(F.struct(*order, "configuration", "errors"))
     return [
         first["job_name"].alias("job_name"),

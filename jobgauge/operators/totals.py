@@ -3,27 +3,32 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobgauge import schemas
-from jobgauge.functions.numbers import exact_avg, exact_sum
+from jobgauge.functions.numbers import exact_avg, exact_sum, misfits
 from jobgauge.sources.scratch import written
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
-    """Total, average and row count per date and region."""
+    """Total, average and row count per date and region, and how many values are not in the total."""
     value = F.col("value")
     return df.groupBy("data_date", "region").agg(
-        exact_sum(value, schemas.MONEY).alias("total_value"),
-        exact_avg(value, schemas.MONEY).alias("avg_value"),
+        exact_sum(value).alias("total_value"),
+        exact_avg(value).alias("avg_value"),
         F.count(F.lit(1)).alias("transaction_count"),
+        misfits(value).alias("value_misfits"),
     )
 
 
 def category_metrics(df: DataFrame) -> DataFrame:
-    """Row count and total per category in one pass; rows without a category are left out."""
+    """Row count, total and values not in it, per category, in one pass; rows without a category are left out."""
+    value = F.col("value")
     return (
         df.filter(F.col("category").isNotNull())
         .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("count"), exact_sum(F.col("value"), schemas.MONEY).alias("category_total"))
+        .agg(
+            F.count(F.lit(1)).alias("count"),
+            exact_sum(value).alias("category_total"),
+            misfits(value).alias("value_misfits"),
+        )
     )
 
 
@@ -35,16 +40,16 @@ def with_running_total(daily: DataFrame) -> DataFrame:
     """
     daily = written(daily, "daily")
     month = F.trunc(F.col("data_date").cast("date"), "month")
-    per_date = daily.groupBy("data_date").agg(F.sum("total_value").alias("_total")).withColumn("_month", month)
+    per_date = daily.groupBy("data_date").agg(F.try_sum("total_value").alias("_total")).withColumn("_month", month)
     in_month = Window.partitionBy("_month").orderBy("data_date")
     earlier = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         per_date.groupBy("_month")
-        .agg(F.sum("_total").alias("_month_total"))
-        .select(F.col("_month").alias("_key"), F.sum("_month_total").over(earlier).alias("_offset"))
+        .agg(F.try_sum("_total").alias("_month_total"))
+        .select(F.col("_month").alias("_key"), F.try_sum("_month_total").over(earlier).alias("_offset"))
     )
     running = (
-        per_date.withColumn("_prefix", F.sum("_total").over(in_month))
+        per_date.withColumn("_prefix", F.try_sum("_total").over(in_month))
         .join(offsets, F.col("_month").eqNullSafe(F.col("_key")))
         .select(
             F.col("data_date").alias("_date"),
@@ -60,7 +65,7 @@ def with_regional_running_total(daily: DataFrame) -> DataFrame:
     """As with_running_total, per region: each window holds one row per date."""
     by_region = Window.partitionBy("region").orderBy("data_date")
     frame = by_region.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.withColumn("running_total", F.sum("total_value").over(frame))
+    return daily.withColumn("running_total", F.try_sum("total_value").over(frame))
 
 
 def top_days(daily: DataFrame, rows: int) -> DataFrame:

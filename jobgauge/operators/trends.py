@@ -2,11 +2,13 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobgauge.operators.logs import log_metrics
 
+DAY_MINUTES = 24 * 60
+
 
 def duration_check(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Whole minutes between start and end, next to the reported minutes."""
@@ -17,13 +19,28 @@ def duration_check(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def late_starts(runs: DataFrame) -> DataFrame:
-    """Per job, the earliest and the latest minute of the day it started at."""
+    """Per job, the earliest and the latest minute of the day it started at, and the minutes between them.
+
+    The day is a circle: all starts lie in the arc that the widest gap without a start leaves, so 23:58 and 00:03 are
+    five minutes apart. Of equally wide gaps the one over midnight counts, then the first. The aggregate keeps a job's
+    different minutes, 1,440 at most.
+    """
     minute = F.hour("start_time") * 60 + F.minute("start_time")
-    return (
-        runs.filter(F.col("job_id").isNotNull())
-        .groupBy("job_id")
-        .agg(F.min(minute).alias("earliest_minute"), F.max(minute).alias("latest_minute"))
-        .withColumn("late_minutes", F.col("latest_minute") - F.col("earliest_minute"))
+    starts = runs.filter(F.col("job_id").isNotNull()).groupBy("job_id").agg(F.sort_array(F.collect_set(minute)).alias("minutes"))
+    first, last = F.get("minutes", F.lit(0)), F.get("minutes", F.size("minutes") - 1)
+    over_midnight = F.struct((first + DAY_MINUTES - last).alias("gap"), F.lit(1).alias("order"), first.alias("to"), last.alias("from"))
+
+    def gap(minute: Column, place: Column) -> Column:
+        before = F.get("minutes", place - 1)
+        return F.struct((minute - before).alias("gap"), (-place).alias("order"), minute.alias("to"), before.alias("from"))
+
+    inner = F.filter(F.transform("minutes", gap), lambda g: g["from"].isNotNull())
+    widest = F.array_max(F.concat(F.array(over_midnight), inner))
+    return starts.withColumn("_widest", F.when(F.size("minutes") > 0, widest)).select(
+        "job_id",
+        F.col("_widest.to").alias("earliest_minute"),
+        F.col("_widest.from").alias("latest_minute"),
+        (DAY_MINUTES - F.col("_widest.gap")).alias("late_minutes"),
     )
 
 

@@ -2,13 +2,16 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobgauge import rules as R
 from jobgauge.operators import changes, reports
 from jobgauge.operators.advice import prioritized, suggest, top_priority
 from jobgauge.operators.history import append_history
 from jobgauge.operators.summary import analyze_runs
+from jobgauge.sources.run_log import read_run_log
 from jobgauge.sources.writers import write_table, write_tables
 
 
@@ -31,6 +34,7 @@ def advisor_tables(
         "config_changes": changes.config_changeset(suggestions, existing_configs),
         "hint_documents": changes.hints_documents(suggestions),
         "change_descriptions": changes.change_descriptions(suggestions),
+        "top_change_request": changes.change_request(top_priority(suggestions), existing_configs),
     }
 
 
@@ -43,10 +47,13 @@ def run_advisor(
     rules: R.AdvisorRules = R.ADVISOR_DEFAULTS,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """Write the analysis, every table derived from it and a history snapshot; return the status row.
+    """Write the analysis, every table derived from it and a history snapshot; return the status row with their place.
 
-    The runs are aggregated once; all other tables read the written analysis, which holds one row per job.
+    The runs are aggregated once; all other tables read the written analysis, which holds one row per job. Without any
+    run nothing is written: earlier output and history stay as they are, and the status is failed.
     """
+    if runs.isEmpty():
+        return reports.failed_status(spark).withColumn("output_path", F.lit(None).cast("string"))
     analysis_path = f"{output_path}/analysis"
     computed = analyze_runs(runs, rules, tiebreak)
     write_table(computed, analysis_path)
@@ -54,4 +61,15 @@ def run_advisor(
     tables = advisor_tables(analysis, existing_configs, rules)
     write_tables({f"{output_path}/{name}": table for name, table in tables.items()})
     append_history(analysis, f"{output_path}/history", batch_id)
-    return reports.advisor_status(runs, analysis)
+    return reports.advisor_status(runs, analysis).withColumn("output_path", F.lit(output_path))
+
+
+def advise(spark: SparkSession, run_path: str, output_path: str, batch_id: int, **options) -> DataFrame:
+    """`run_advisor` on the run log below `run_path`; where there is no such path, the status is failed."""
+    try:
+        runs = read_run_log(spark, run_path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return reports.failed_status(spark).withColumn("output_path", F.lit(None).cast("string"))
+    return run_advisor(spark, runs, output_path, batch_id, **options)

@@ -4,14 +4,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobgauge.operators.business import apply_business_rules
+from jobgauge.operators.business import add_month, apply_business_rules
 from jobgauge.operators.joins import lookup
 from jobgauge.operators.totals import category_metrics, daily_totals, with_running_total
 from jobgauge.rules import SALES_DEFAULTS, SalesRules
 from jobgauge.sources.tables import read_bronze, read_regions
-from jobgauge.sources.writers import export_compact, write_table, write_tables
+from jobgauge.sources.writers import export_copy, write_table, write_tables
 
-TARGETS = ("main", "daily_agg", "category_metrics", "single_file")
+TARGETS = ("main", "daily_agg", "category_metrics", "export")
 
 
 def silver_table(bronze: DataFrame, regions: DataFrame, rules: SalesRules = SALES_DEFAULTS) -> DataFrame:
@@ -23,17 +23,18 @@ def aggregate_data(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_silver(
-    silver: DataFrame, target_paths: Mapping[str, str], partition_by: Sequence[str] = ("year", "month")
+    silver: DataFrame, target_paths: Mapping[str, str], partition_by: Sequence[str] = ("data_month",)
 ) -> Mapping[str, str]:
-    """Write the main table, then build the other outputs from it.
+    """Write the main table, then build the other outputs from it, and a copy of it as `export`.
 
     The written table takes the place of a cache: the join and the rules run once, the aggregates read only the
     columns they need, and a lost executor costs no recomputation.
     """
+    silver = add_month(silver) if "data_month" in partition_by else silver
     write_table(silver, target_paths["main"], partition_by=partition_by)
     main = silver.sparkSession.read.schema(silver.schema).parquet(target_paths["main"])
     write_tables({target_paths[name]: aggregate for name, aggregate in aggregate_data(main).items()})
-    export_compact(main, target_paths["single_file"])
+    export_copy(main, target_paths["export"])
     return target_paths
 
 

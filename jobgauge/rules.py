@@ -68,6 +68,9 @@ HINTS_PATH = "jobs/%s/OPTIMIZATIONS.md"
 HINTS_HEADER = "# Optimization Suggestions for %s\n\n## Suggested Code Changes\n\n"
 HINTS_BULLET = "- "
 BRANCH_PREFIX = "optimize-job"
+COMMIT_TEXTS = {"update": "Optimize configuration for job %s", "create": "Add configuration for job %s"}
+HINTS_COMMIT_TEXT = "Add optimization suggestions for job %s"
+NO_DATA_TEXT = "No job data loaded"
 CHANGE_TITLE = "Optimize job %s (ID: %s)"
 CHANGE_BODY = """# Job Optimization PR
 

@@ -1,7 +1,8 @@
 """Reader for run tables whose configuration cell is unquoted JSON.
 
 The commas inside the JSON shift every field for an ordinary CSV reader, so lines are matched as text: the two fields
-before the configuration and the number and timestamps after it anchor the split.
+before the configuration and the number and timestamps after it anchor the split. A name is quoted or has no comma; a
+configuration is empty, quoted, or starts with a brace. All other lines are rejected.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,10 @@ from jobgauge import schemas
 
 HEADER = ",".join(schemas.RUNS.fieldNames())
 _STAMP = r"(?:\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})?"
-_LINE = rf'^([^,]*+),([^,]*+),(.*?),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
+_QUOTED = r'"(?:[^"]|"")*+"'
+_NAME = rf'{_QUOTED}|[^,"]*+'
+_CONFIGURATION = rf'\{{.*?|{_QUOTED}|'
+_LINE = rf'^([^,]*+),({_NAME}),({_CONFIGURATION}),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
 _MARK = "\u0001"
 _FIELDS = {name: number for number, name in enumerate(schemas.RUNS.fieldNames())}
 
@@ -26,14 +30,31 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_run_lines(read_run_lines(spark, path))
 
 
+def split_run_lines(lines: DataFrame) -> DataFrame:
+    """Every line with its record, a struct of the RUNS schema, or NULL where it does not parse completely.
+
+    One pass for both: write the result, then read runs and rejects from it.
+    """
+    record = F.get(_records(), F.lit(0))
+    return lines.select("line", F.when(record.isNotNull(), record.dropFields("fields")).alias("record"))
+
+
 def parse_run_lines(lines: DataFrame) -> DataFrame:
-    """Rows of the RUNS schema from lines that parse completely."""
+    """Rows of the RUNS schema from lines that parse completely; see `run_line_counts` for the others."""
     return lines.select(F.inline(_records())).select(*schemas.RUNS.fieldNames())
 
 
 def rejected_run_lines(lines: DataFrame) -> DataFrame:
     """The lines parse_run_lines leaves out."""
-    return lines.filter(F.size(_records()) == 0).select("line")
+    return split_run_lines(lines).filter(F.col("record").isNull()).select("line")
+
+
+def run_line_counts(lines: DataFrame) -> DataFrame:
+    """One row: how many lines parse and how many are rejected."""
+    rejected = F.col("record").isNull()
+    return split_run_lines(lines).agg(
+        F.count_if(~rejected).alias("parsed"), F.count_if(rejected).alias("rejected")
+    )
 
 
 def _records() -> Column:
@@ -52,16 +73,19 @@ def _text(fields: Column, name: str) -> Column:
     return F.when(text != "", text)
 
 
+def _plain(text: Column) -> Column:
+    """A field without its quotes, if it has some."""
+    inner = _unquoted(F.substring(text, 2, F.length(text) - 2))
+    return F.when(text.startswith('"'), inner).otherwise(text)
+
+
 def _typed(fields: Column) -> Column:
     stamp = F.lit("yyyy-MM-dd HH:mm:ss")
-    configuration = _text(fields, "configuration")
     return F.struct(
         fields.alias("fields"),
         _text(fields, "job_id").try_cast("bigint").alias("job_id"),
-        _text(fields, "job_name").alias("job_name"),
-        F.when(configuration.startswith('"'), _unquoted(F.substring(configuration, 2, F.length(configuration) - 2)))
-        .otherwise(configuration)
-        .alias("configuration"),
+        _plain(_text(fields, "job_name")).alias("job_name"),
+        _plain(_text(fields, "configuration")).alias("configuration"),
         _text(fields, "runtime_minutes").try_cast("double").alias("runtime_minutes"),
         F.try_to_timestamp(_text(fields, "start_time"), stamp).alias("start_time"),
         F.try_to_timestamp(_text(fields, "end_time"), stamp).alias("end_time"),

@@ -1,5 +1,6 @@
 """Shared scratch space for intermediate tables."""
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,17 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the scratch space and read back: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
+    """`df` written once to the scratch space and read back: computed once, and safe from lost executors.
+
+    Shuffle files of earlier steps that no DataFrame refers to any more are then removed by Spark's cleaner, which waits
+    for collections of the driver's garbage; one is asked for here, so that disks do not fill up in long plans.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _hadoop(spark: SparkSession, path: str):

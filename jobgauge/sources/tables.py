@@ -28,9 +28,9 @@ def read_source(
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Read all bronze files; the source's own region is kept apart from the looked-up one."""
+    """Read all batches of bronze files; the source's own region is kept apart from the looked-up one."""
     bronze = spark.read.parquet(path)
-    return bronze.withColumnRenamed("region", "src_region")
+    return bronze.withColumnRenamed("region", "src_region").drop("batch_id")
 
 
 def read_regions(spark: SparkSession, path: str, source_format: str = "csv") -> DataFrame:

@@ -14,13 +14,15 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    rebalance: bool = True,
 ) -> None:
     """Write Parquet, optionally partitioned.
 
     A partitioned write is rebalanced on its partition columns first: each directory gets few files, and adaptive
-    execution splits a directory that holds a large share of the rows over many tasks.
+    execution splits a directory that holds a large share of the rows over many tasks. Without `rebalance` each task
+    writes its own files to the directories of its rows, and nothing is shuffled.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -34,11 +36,18 @@ def write_tables(tables: Mapping[str, DataFrame], at_once: int = 4) -> None:
         list(pool.map(lambda path: write_table(tables[path], path), tables))
 
 
-def export_compact(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write as few files as the advisory partition size allows: one for small data, many for large data."""
-    df.hint("rebalance").write.mode(mode).parquet(path)
+def export_copy(table: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Copy a table that was read from files, without a shuffle.
+
+    Each scan split becomes one file: small files are packed into splits of up to spark.sql.files.maxPartitionBytes, so
+    small data gives one file, and no file holds more than a split.
+    """
+    table.write.mode(mode).parquet(path)
 
 
 def write_single_file(aggregate: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write one file. Only for aggregates whose row count does not grow with the input."""
-    aggregate.coalesce(1).write.mode(mode).parquet(path)
+    """Write one file. Only for aggregates whose row count does not grow with the input.
+
+    The rows are brought together after the aggregate, whose last stage keeps its tasks.
+    """
+    aggregate.repartition(1).write.mode(mode).parquet(path)

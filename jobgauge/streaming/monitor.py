@@ -56,7 +56,8 @@ def monitor_history(
 def daily_runtimes(runs: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Runtimes per job and day over a stream; a day closes once the watermark passes its end.
 
-    State holds open days only. Runs later than `lateness` behind the newest run are dropped, as for any watermark.
+    State holds open days only. Runs later than `lateness` behind the newest run, and runs without a start, are left out,
+    as for any watermark; `left_out_runs` counts them.
     """
     stamped = prepare_runs(runs).withColumn("start_time", F.col("start_time").cast("timestamp"))
     return (
@@ -81,6 +82,35 @@ def monitor_daily(
     return _start(runs.sparkSession, writer, checkpoint_path, state_partitions)
 
 
+def left_out_runs(runs: DataFrame, days: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Per job and day, the runs that the daily table `days` does not hold: a batch query over the run files.
+
+    `reason` is "undated" for runs without a start, "open" for days that end less than `lateness` before the newest run,
+    and "late" for all others: they came when their day was closed.
+    """
+    day = F.date_trunc("day", F.col("start_time").cast("timestamp"))
+    arrived = (
+        runs.filter(F.col("job_id").isNotNull())
+        .groupBy("job_id", day.alias("day_start"))
+        .agg(F.count(F.lit(1)).alias("arrived"))
+    )
+    closed = days.select(F.col("job_id").alias("_job"), F.col("day_start").alias("_day"), F.col("runs").alias("_runs"))
+    same = (F.col("job_id") == F.col("_job")) & F.col("day_start").eqNullSafe(F.col("_day"))
+    newest = runs.agg(F.max(F.col("start_time").cast("timestamp"))).scalar()
+    missing = F.col("arrived") - F.coalesce("_runs", F.lit(0))
+    reason = (
+        F.when(F.col("day_start").isNull(), "undated")
+        .when(F.col("day_start") + F.expr("INTERVAL 1 DAY") > F.col("_newest") - F.expr(f"INTERVAL {lateness}"), "open")
+        .otherwise("late")
+    )
+    return (
+        arrived.join(closed, same, "left")
+        .withColumn("_newest", newest)
+        .select("job_id", "day_start", missing.alias("runs"), reason.alias("reason"))
+        .filter("runs > 0")
+    )
+
+
 def _start(
     spark: SparkSession, writer: DataStreamWriter, checkpoint_path: str, state_partitions: int | None
 ) -> StreamingQuery:

@@ -80,6 +80,7 @@ def test_golden_runs_under_shifted_columns(spark):
 CONFIGS = [
     (config(5), (True, "small_driver", "small", 5)),
     ("{}", (True, "unknown", "unknown", 0)),
+    ('{"cluster_config": {"num_workers": 1, "num_workers": 4}, "a": 1, "a": 2}', (True, "unknown", "unknown", 4)),
     ('{"cluster_config": null}', (True, "unknown", "unknown", 0)),
     ('{"cluster_config": 5}', (True, "unknown", "unknown", 0)),
     (' {"cluster_config": {"num_workers": null, "node_type_id": "x"}} ', (True, "unknown", "x", 0)),
@@ -262,9 +263,10 @@ def test_configured_thresholds_and_costs(golden):
 
 def test_advisor_run_writes_every_table(spark, golden, path):
     status = run_advisor(spark, golden, path("out"), batch_id=1)
-    assert rows(status) == [("completed", 3, None)]
+    assert rows(status) == [("completed", 3, None, path("out"))]
     counts = {name: spark.read.parquet(f"{path('out')}/{name}").count() for name in (
         "analysis", "suggestions", "top_priority", "report_summary", "report_jobs", "report_details", "chart_runtime",
         "chart_scatter", "chart_cost", "config_changes", "hint_documents", "change_descriptions", "history",
+        "top_change_request",
     )}
-    assert list(counts.values()) == [3, 3, 1, 1, 3, 7, 3, 3, 3, 3, 2, 3, 3]
+    assert list(counts.values()) == [3, 3, 1, 1, 3, 7, 3, 3, 3, 3, 2, 3, 3, 1]

@@ -8,9 +8,10 @@ from helpers import config, plan, rows
 from jobgauge import schemas
 from jobgauge.operators.ingest import filter_min_value, ingest_metrics, transform_sales
 from jobgauge.plans.ingestion import run_ingestion
+from jobgauge.operators.business import between_dates
 from jobgauge.sources import run_log, scratch
 from jobgauge.sources.tables import read_bronze, read_regions, read_source
-from jobgauge.sources.writers import export_compact, write_single_file, write_table
+from jobgauge.sources.writers import export_copy, write_single_file, write_table
 
 SALES_CSV = """date,region,category,value,region_id
 2024-01-02,EAST,Toys,100.5,1
@@ -98,10 +99,11 @@ def test_ingestion_job(spark, sales_csv, path):
     assert rows(metrics) == [(18, 3, 6)]
     bronze = read_bronze(spark, path("bronze"))
     assert "src_region" in bronze.columns and "region" not in bronze.columns
-    march = bronze.filter((F.col("year") == 2024) & (F.col("month") == "January"))
-    assert march.count() == 12
-    assert "PartitionFilters: [isnotnull(year" in plan(march)
-    run_ingestion(spark, sales_csv, path("bronze"), mode="append")
+    january = between_dates(bronze, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert january.count() == 12
+    assert "PartitionFilters: [isnotnull(data_month" in plan(january)
+    again = run_ingestion(spark, sales_csv, path("bronze"), mode="append").first()
+    assert again.row_count == 18
     assert read_bronze(spark, path("bronze")).count() == 36
     run_ingestion(spark, sales_csv, path("bronze"))
     assert read_bronze(spark, path("bronze")).count() == 18
@@ -121,7 +123,8 @@ def test_hot_partition_is_written_by_several_tasks(spark, path):
 
 def test_exports_of_small_tables_are_single_files(spark, path):
     df = spark.range(1000, numPartitions=8)
-    export_compact(df, path("compact"))
+    write_table(df, path("main"))
+    export_copy(spark.read.parquet(path("main")), path("compact"))
     write_single_file(df, path("single"))
     assert len(glob.glob(path("compact") + "/*.parquet")) == len(glob.glob(path("single") + "/*.parquet")) == 1
 

@@ -3,19 +3,24 @@
 from pyspark.sql import functions as F
 
 from jobgauge.operators import logs, trends
-from jobgauge.sources.run_log import parse_run_lines, rejected_run_lines
+from jobgauge.sources.run_log import parse_run_lines, rejected_run_lines, run_line_counts
 from workload.registry import query
 from workload.views import runs, with_runs
 
 
 def _run_lines(spark, sf_dir):
-    """Runs rendered as lines with unquoted JSON; views have no configuration, signups no start that can be read."""
+    """Runs rendered as lines with unquoted JSON; views have no configuration, signups no start that can be read.
+
+    Clicks have a quoted name with a comma, purchases every other time an unquoted one, which cannot be split.
+    """
     seconds = "yyyy-MM-dd HH:mm:ss"
     name = F.col("job_name")
+    comma = (name == "purchase_job") & (F.col("run_id") % 2 == 0)
+    shown = F.when(name == "click_job", F.lit('"click, ""fast"""')).when(comma, F.lit("purchase, job")).otherwise(name)
     start = F.when(name == "signup_job", F.lit("soon")).otherwise(F.date_format("start_time", seconds))
     fields = [
         F.col("job_id").cast("string"),
-        name,
+        shown,
         F.when(name == "view_job", F.lit("")).otherwise(F.col("configuration")),
         F.col("runtime_minutes").cast("decimal(18,2)").cast("string"),
         start,
@@ -33,10 +38,11 @@ CONFIGURATION_SQL = """
 
 
 @query(with_runs(f"""
-SELECT job_id, job_name, CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} END AS configuration, runtime_minutes,
+SELECT job_id, CASE WHEN kind = 'click' THEN 'click, "fast"' ELSE job_name END AS job_name,
+       CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} END AS configuration, runtime_minutes,
        date_trunc('second', start_time) AS start_time, date_trunc('second', end_time) AS end_time,
        array_to_string(log_list, '\\n') AS output
-FROM runs WHERE kind <> 'signup'
+FROM runs WHERE kind <> 'signup' AND NOT (kind = 'purchase' AND run_id % 2 = 0)
 """))
 def job_runs_parse(spark, sf_dir):
     parsed = parse_run_lines(_run_lines(spark, sf_dir))
@@ -44,15 +50,24 @@ def job_runs_parse(spark, sf_dir):
 
 
 @query(with_runs(f"""
-SELECT job_id || ',' || job_name || ',' || CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} ELSE '' END || ','
-       || runtime_minutes::decimal(18,2) || ',soon,' || strftime(end_time, '%Y-%m-%d %H:%M:%S') || ',"'
-       || array_to_string(log_list, '\\n') || '"' AS line
-FROM runs WHERE kind = 'signup'
+SELECT job_id || ',' || CASE WHEN kind = 'purchase' THEN 'purchase, job' ELSE job_name END || ',' || {CONFIGURATION_SQL} || ','
+       || runtime_minutes::decimal(18,2) || ','
+       || CASE WHEN kind = 'signup' THEN 'soon' ELSE strftime(start_time, '%Y-%m-%d %H:%M:%S') END || ','
+       || strftime(end_time, '%Y-%m-%d %H:%M:%S') || ',"' || array_to_string(log_list, '\\n') || '"' AS line
+FROM runs WHERE kind = 'signup' OR (kind = 'purchase' AND run_id % 2 = 0)
 """))
 def job_runs_rejected(spark, sf_dir):
     return rejected_run_lines(_run_lines(spark, sf_dir))
 
 
+@query("""
+SELECT count(*) FILTER (NOT rejected) AS parsed, count(*) FILTER (rejected) AS rejected
+FROM (SELECT event_type = 'signup' OR (event_type = 'purchase' AND event_id % 2 = 0) AS rejected FROM events)
+""")
+def job_run_line_counts(spark, sf_dir):
+    return run_line_counts(_run_lines(spark, sf_dir))
+
+
 LINES_SQL = r"""
 , lines AS (
     SELECT run_id, job_id, generate_subscripts(log_list, 1)::int - 1 AS line_no, unnest(log_list) AS line FROM runs
@@ -70,15 +85,17 @@ def log_lines(spark, sf_dir):
 
 
 @query(with_runs(f"""{LINES_SQL}
-SELECT job_id, count(*) AS warnings,
-       count(*) FILTER (WHERE message LIKE '%executor scheduling%') AS scheduling_delay,
-       count(*) FILTER (WHERE message LIKE '%cartesian join%') AS cartesian_join,
-       count(*) FILTER (WHERE message LIKE '%skew%') AS skew,
-       count(*) FILTER (WHERE message LIKE '%Shuffle spill%') AS shuffle_spill
-FROM mined WHERE level = 'WARN' GROUP BY job_id
+SELECT job_id, count(*) FILTER (loud) AS warnings,
+       count(*) FILTER (WHERE loud AND message LIKE '%executor scheduling%') AS scheduling_delay,
+       count(*) FILTER (WHERE loud AND message LIKE '%cartesian join%') AS cartesian_join,
+       count(*) FILTER (WHERE loud AND message LIKE '%skew%') AS skew,
+       count(*) FILTER (WHERE loud AND message LIKE '%Shuffle spill%') AS shuffle_spill
+FROM (SELECT *, level = 'WARN' AND job_id % 3 <> 0 AS loud FROM mined) GROUP BY job_id
 """))
 def log_warning_counts(spark, sf_dir):
-    return logs.warning_counts(runs(spark, sf_dir))
+    """Every third job is quiet: it keeps the first line of its logs only."""
+    quiet = F.when(F.col("job_id") % 3 == 0, F.substring_index("output", "\\n", 1)).otherwise(F.col("output"))
+    return logs.warning_counts(runs(spark, sf_dir).withColumn("output", quiet))
 
 
 METRICS_SQL = """
@@ -108,8 +125,17 @@ def duration_check(spark, sf_dir):
 
 
 @query(with_runs("""
-SELECT job_id, min(m)::int AS earliest_minute, max(m)::int AS latest_minute, (max(m) - min(m))::int AS late_minutes
-FROM (SELECT job_id, hour(start_time) * 60 + minute(start_time) AS m FROM runs) GROUP BY job_id
+SELECT job_id, arg_max(m, wide)::int AS earliest_minute, arg_max(before, wide)::int AS latest_minute, (1440 - max(gap))::int AS late_minutes
+FROM (
+    SELECT job_id, m, coalesce(before, last) AS before, gap, gap * 10000 + CASE WHEN before IS NULL THEN 9999 ELSE 5000 - m END AS wide
+    FROM (
+        SELECT *, CASE WHEN before IS NULL THEN m + 1440 - last ELSE m - before END AS gap
+        FROM (
+            SELECT job_id, m, lag(m) OVER (PARTITION BY job_id ORDER BY m) AS before, max(m) OVER (PARTITION BY job_id) AS last
+            FROM (SELECT DISTINCT job_id, hour(start_time) * 60 + minute(start_time) AS m FROM runs)
+        )
+    )
+) GROUP BY job_id
 """))
 def late_starts(spark, sf_dir):
     return trends.late_starts(runs(spark, sf_dir))

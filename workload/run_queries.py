@@ -1,7 +1,9 @@
 """Queries over job runs: summary, rules, suggestions, outputs, history, streaming."""
 
 import datetime as dt
+import time
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
@@ -32,7 +34,7 @@ def _suggestions(spark, sf_dir):
 @query(with_runs("SELECT job_id, runs, avg_runtime, max_runtime, min_runtime FROM stats"))
 def job_runtime_stats(spark, sf_dir):
     prepared = summary.prepare_runs(runs(spark, sf_dir), RUN_RULES)
-    return prepared.groupBy("job_id").agg(*summary.runtime_columns())
+    return prepared.groupBy("job_id").agg(*summary.runtime_columns()).drop("runtime_misfits")
 
 
 @query(with_runs("SELECT job_id, runs FROM stats WHERE runs >= 67"))
@@ -173,10 +175,10 @@ def job_cost(spark, sf_dir):
 
 
 @query(with_runs("""
-SELECT job_id, runs, minutes, worker_minutes, (worker_minutes * 0.5::double + minutes * 0.7::double) / 60 AS total_cost
+SELECT job_id, runs, minutes, worker_minutes, runtime_misfits, (worker_minutes * 0.5::double + minutes * 0.7::double) / 60 AS total_cost
 FROM (
-    SELECT job_id, count(*) AS runs, sum(runtime_minutes::decimal(18,6))::double AS minutes,
-           sum(runtime_minutes::decimal(18,6) * k)::double AS worker_minutes
+    SELECT job_id, count(*) AS runs, sum(runtime_minutes::varchar::decimal(38,18))::varchar::double AS minutes, 0::bigint AS runtime_misfits,
+           sum((runtime_minutes * k)::varchar::decimal(38,18))::varchar::double AS worker_minutes
     FROM runs GROUP BY job_id
 )
 """))
@@ -329,15 +331,24 @@ def change_descriptions(spark, sf_dir):
     return changes.change_descriptions(_suggestions(spark, sf_dir))
 
 
-@query(with_runs("""
-SELECT 'config_changes' AS output, 'create' AS label, count(*) AS row_count FROM analysis
-UNION ALL SELECT 'suggestions', severity, count(*) FROM suggestions GROUP BY severity
-UNION ALL SELECT 'hint_documents', 'all', count(*) FROM suggestions WHERE len(code_changes) > 0
-UNION ALL SELECT 'history', 'all', count(*) FROM analysis
+JOB_TABLES = (
+    "analysis", "suggestions", "report_jobs", "chart_runtime", "chart_scatter", "chart_cost", "change_descriptions", "history",
+)
+
+
+@query(with_runs(f"""
+, top AS (SELECT job_id FROM suggestions ORDER BY severity_rank, avg_runtime DESC, job_id LIMIT 1)
+SELECT unnest({list(JOB_TABLES)}) AS output, job_id::varchar AS label, 1::bigint AS row_count FROM analysis
+UNION ALL SELECT 'config_changes', 'create', count(*) FROM analysis
+UNION ALL SELECT 'hint_documents', job_id::varchar, 1 FROM suggestions WHERE len(code_changes) > 0
+UNION ALL SELECT 'report_details', job_id::varchar, greatest(1, len(code_changes)) FROM suggestions
+UNION ALL SELECT unnest(['top_priority', 'top_change_request']), job_id::varchar, 1 FROM top
+UNION ALL SELECT 'report_summary', 'HIGH', count(*) FROM analysis WHERE severity = 'HIGH'
 UNION ALL SELECT 'status', 'completed', count(*) FROM analysis
+UNION ALL SELECT 'status without runs', 'failed', NULL
 """))
 def advisor_run(spark, sf_dir):
-    """The whole advisor job, checked by the row counts of its written tables."""
+    """The whole advisor job, checked by the rows of all its tables, after a second run that found no data."""
     path = scratch_path(spark, "advisor")
     status = run_advisor(spark, runs(spark, sf_dir), path, batch_id=1, rules=RUN_RULES, tiebreak=TIEBREAK)
 
@@ -345,18 +356,24 @@ def advisor_run(spark, sf_dir):
         rows = spark.read.parquet(f"{path}/{name}").groupBy(label.alias("label"))
         return rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("output"), "label", "row_count")
 
-    written = rows_of("config_changes", F.col("action")).union(rows_of("suggestions", F.col("severity")))
-    written = written.union(rows_of("hint_documents", F.lit("all"))).union(rows_of("history", F.lit("all")))
-    return written.union(status.select(F.lit("status"), "status", "suggestions"))
-
-
-HISTORY_CUTS = [dt.date(2024, 1, 10), dt.date(2024, 1, 20), dt.date(2024, 2, 1)]
+    failed = run_advisor(spark, runs(spark, sf_dir).limit(0), path, batch_id=2, rules=RUN_RULES, tiebreak=TIEBREAK)
+    written = rows_of("config_changes", F.col("action"))
+    for name in (*JOB_TABLES, "hint_documents", "report_details", "top_priority", "top_change_request"):
+        written = written.union(rows_of(name, F.col("job_id").cast("string")))
+    summed = spark.read.parquet(f"{path}/report_summary")
+    written = written.union(summed.select(F.lit("report_summary"), F.lit("HIGH"), "high_priority"))
+    written = written.union(status.select(F.lit("status"), "status", "suggestions"))
+    return written.union(failed.select(F.lit("status without runs"), "status", "suggestions"))
 
 
 @query("""
-WITH cuts AS (SELECT unnest([DATE '2024-01-10', DATE '2024-01-20', DATE '2024-02-01']) AS cut),
+WITH span AS (SELECT date_trunc('day', min(ts))::date AS first, date_trunc('day', max(ts))::date AS last FROM events),
+cuts AS (
+    SELECT unnest([first + (last - first)::int // 3 + 1, first + (last - first)::int * 2 // 3 + 1, last + 1])::date AS cut
+    FROM span
+),
 snapshots AS (
-    SELECT cut, user_id AS job_id, sum(value::decimal(18,6))::double / count(value) AS avg_runtime, max(value) AS peak
+    SELECT cut, user_id AS job_id, sum(value::varchar::decimal(38,18))::varchar::double / count(value) AS avg_runtime, max(value) AS peak
     FROM cuts JOIN events ON ts < cut GROUP BY cut, user_id HAVING count(*) >= 2
 )
 SELECT job_id, count(*) AS snapshots, min(cut)::timestamp AS first_ts, max(cut)::timestamp AS last_ts,
@@ -365,9 +382,12 @@ SELECT job_id, count(*) AS snapshots, min(cut)::timestamp AS first_ts, max(cut):
 FROM snapshots GROUP BY job_id
 """)
 def history_rollup(spark, sf_dir):
-    """Three analyses, each over the runs so far, appended to a history."""
+    """Analyses after a third, two thirds and all of the days, each over the runs so far, appended to a history."""
     path = scratch_path(spark, "history")
-    for batch_id, cut in enumerate(HISTORY_CUTS):
+    first, last = runs(spark, sf_dir).agg(F.to_date(F.min("start_time")), F.to_date(F.max("start_time"))).first()
+    days = (last - first).days
+    for batch_id, day in enumerate((days // 3, days * 2 // 3, days)):
+        cut = first + dt.timedelta(days=day + 1)
         so_far = runs(spark, sf_dir).filter(F.col("start_time") < F.lit(cut))
         analysis = summary.analyze_runs(so_far, RUN_RULES, TIEBREAK)
         history.append_history(analysis, path, batch_id, F.lit(cut))
@@ -375,16 +395,30 @@ def history_rollup(spark, sf_dir):
     return rolled.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
 
 
-def _run_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return as_runs(monitor.read_run_stream(spark, sf_dir, schema, name_pattern="events.parquet"))
+def _run_stream(spark, sf_dir, path, files=3):
+    """A stream over the runs in files that follow each other in time, one file a batch.
+
+    Of the first day's runs every tenth comes in the last file.
+    """
+    events = table(spark, sf_dir, "events")
+    share = F.ntile(files).over(Window.orderBy("day")) - 1
+    days = events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*")).select("day", share.alias("file"))
+    first_day = days.agg(F.min("day")).scalar()
+    placed = events.withColumn("day", F.to_date("ts")).withColumn("first_day", first_day).join(days, "day", "left")
+    held_back = (F.col("day") == F.col("first_day")) & (F.col("event_id") % 10 == 0)
+    placed = placed.withColumn("file", F.when(held_back, files - 1).otherwise(F.coalesce("file", F.lit(files - 1))))
+    placed = placed.drop("day", "first_day")
+    for file in range(files):
+        placed.filter(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(f"{path}/files")
+        time.sleep(0.01)  # the stream takes files by their time
+    return as_runs(monitor.read_run_stream(spark, f"{path}/files", events.schema, files_per_trigger=1))
 
 
 @query(with_runs("SELECT job_id, avg_runtime, recommendation FROM analysis"))
 def monitor_stream(spark, sf_dir):
     """The last snapshot a stream over the run files leaves in the history."""
     path = scratch_path(spark, "monitor")
-    stream = _run_stream(spark, sf_dir)
+    stream = _run_stream(spark, sf_dir, path)
     query = monitor.monitor_history(
         stream,
         f"{path}/history",
@@ -401,19 +435,48 @@ def monitor_stream(spark, sf_dir):
 
 @query(with_runs("""
 SELECT job_id, date_trunc('day', start_time)::timestamp AS day_start, count(*) AS runs,
-       sum(runtime_minutes::decimal(18,6))::double / count(runtime_minutes) AS avg_runtime,
+       sum(runtime_minutes::varchar::decimal(38,18))::varchar::double / count(runtime_minutes) AS avg_runtime,
        max(runtime_minutes) AS max_runtime, min(runtime_minutes) AS min_runtime
 FROM runs
-WHERE date_trunc('day', start_time) + INTERVAL 1 DAY <= (SELECT max(start_time) - INTERVAL 1 DAY FROM runs)
+WHERE date_trunc('day', start_time) + INTERVAL 1 DAY <= (SELECT max(start_time) - INTERVAL 1 DAY FROM runs WHERE run_id % 50 <> 7)
+  AND run_id % 50 <> 7
+  AND NOT (run_id % 10 = 0 AND date_trunc('day', start_time) = (SELECT min(date_trunc('day', start_time)) FROM runs))
 GROUP BY ALL
 """))
 def monitor_daily(spark, sf_dir):
-    """The days a stream over the run files has closed."""
+    """The days a stream over the run files has closed; some runs are late and some have no start."""
+    days, _ = _closed_days(spark, sf_dir)
+    return days.withColumn("day_start", F.col("day_start").cast("timestamp_ntz")).drop("day_end", "runtime_misfits")
+
+
+@query(with_runs("""
+SELECT job_id, day_start, count(*) AS runs, reason
+FROM (
+    SELECT job_id, CASE WHEN run_id % 50 <> 7 THEN date_trunc('day', start_time)::timestamp END AS day_start,
+           CASE WHEN run_id % 50 = 7 THEN 'undated'
+                WHEN date_trunc('day', start_time) + INTERVAL 1 DAY
+                     > (SELECT max(start_time) - INTERVAL 1 DAY FROM runs WHERE run_id % 50 <> 7) THEN 'open'
+                WHEN run_id % 10 = 0 AND date_trunc('day', start_time) = (SELECT min(date_trunc('day', start_time)) FROM runs)
+                THEN 'late' END AS reason
+    FROM runs
+)
+WHERE reason IS NOT NULL GROUP BY ALL
+"""))
+def monitor_left_out(spark, sf_dir):
+    """The runs that the closed days do not hold."""
+    days, arrived = _closed_days(spark, sf_dir)
+    left_out = monitor.left_out_runs(arrived, days)
+    return left_out.withColumn("day_start", F.col("day_start").cast("timestamp_ntz"))
+
+
+def _closed_days(spark, sf_dir):
+    def dated(rows):
+        return rows.withColumn("start_time", F.when(F.col("run_id") % 50 != 7, F.col("start_time")))
+
     path = scratch_path(spark, "daily")
     partitions = spark.sparkContext.defaultParallelism
     query = monitor.monitor_daily(
-        _run_stream(spark, sf_dir), f"{path}/days", f"{path}/state", state_partitions=partitions
+        dated(_run_stream(spark, sf_dir, path)), f"{path}/days", f"{path}/state", state_partitions=partitions
     )
     query.awaitTermination()
-    days = spark.read.parquet(f"{path}/days").withColumn("day_start", F.col("day_start").cast("timestamp_ntz"))
-    return days.drop("day_end")
+    return spark.read.parquet(f"{path}/days"), dated(runs(spark, sf_dir))

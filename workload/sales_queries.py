@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from jobgauge import schemas
+from jobgauge.functions.numbers import exact_sum
 from jobgauge.functions.sales import parse_date
 from jobgauge.operators import business, ingest, joins, totals
 from jobgauge.plans.ingestion import run_ingestion
@@ -157,7 +158,12 @@ def partition_pruned_scan(spark, sf_dir):
 
 @query(with_sales("SELECT id, region_id, region, category, value FROM enriched"))
 def region_enrich(spark, sf_dir):
-    return _enriched(spark, sf_dir).select("id", "region_id", "region", "category", "value")
+    """Every key of the dimension repeats, without a name and with one that sorts last."""
+    dimension = regions(spark, sf_dir)
+    for name in (None, "ZZZ"):
+        dimension = dimension.union(regions(spark, sf_dir).withColumn("region", F.lit(name)))
+    joined = joins.lookup(sales(spark, sf_dir), dimension, "region_id")
+    return joined.select("id", "region_id", "region", "category", "value")
 
 
 @query(with_sales("SELECT id, region_id, region, value FROM enriched"))
@@ -216,14 +222,14 @@ def business_rules(spark, sf_dir):
 
 
 @query(with_sales("""
-SELECT data_date, region, total::double AS total_value, avg_value, transaction_count FROM daily
+SELECT data_date, region, total::varchar::double AS total_value, avg_value, transaction_count, value_misfits FROM daily
 """))
 def daily_agg(spark, sf_dir):
     return _as_double(totals.daily_totals(_enriched(spark, sf_dir)), "total_value")
 
 
 @query(with_sales("""
-SELECT category, count(*) AS count, sum(value::decimal(18,4))::double AS category_total
+SELECT category, count(*) AS count, 0::bigint AS value_misfits, sum(value::varchar::decimal(38,18))::varchar::double AS category_total
 FROM enriched WHERE category IS NOT NULL GROUP BY category
 """))
 def category_metrics(spark, sf_dir):
@@ -231,17 +237,29 @@ def category_metrics(spark, sf_dir):
 
 
 @query(with_sales("""
-SELECT data_date, region, total::double AS total_value, transaction_count
+SELECT data_date, region, total::varchar::double AS total_value, transaction_count
 FROM daily ORDER BY total DESC, data_date, region LIMIT 20
 """))
 def top_days(spark, sf_dir):
     top = totals.top_days(totals.daily_totals(_enriched(spark, sf_dir)), 20)
-    return _as_double(top, "total_value").drop("avg_value")
+    return _as_double(top, "total_value").drop("avg_value", "value_misfits")
+
+
+@query("""
+SELECT o_orderpriority AS category, count(*) AS count, count(*) FILTER (o_orderkey % 97 = 0) AS value_misfits,
+       sum((o_totalprice / 1e9)::varchar::decimal(38,18)) FILTER (o_orderkey % 97 <> 0)::varchar::double AS category_total
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority
+""")
+def exact_totals(spark, sf_dir):
+    """Totals of values with many decimals; some values are too large for them and only counted."""
+    value = F.when(F.col("o_orderkey") % 97 == 0, 1e30).otherwise(F.col("o_totalprice") / 1e9)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("category"), value.alias("value"))
+    return _as_double(totals.category_metrics(orders), "category_total")
 
 
 RUNNING_SQL = """
-SELECT data_date, region, total::double AS total_value, avg_value, transaction_count,
-       (sum(total) OVER ({window}))::double AS running_total
+SELECT data_date, region, total::varchar::double AS total_value, avg_value, transaction_count, value_misfits,
+       (sum(total) OVER ({window}))::varchar::double AS running_total
 FROM daily
 """
 
@@ -259,15 +277,15 @@ def running_total_by_region(spark, sf_dir):
 
 
 @query(with_sales(f""", {TAX_SQL}
-SELECT 'main' AS output, region AS label, count(*) AS row_count, sum(value::decimal(18,4))::double AS total
+SELECT 'main' AS output, region AS label, count(*) AS row_count, sum(value::varchar::decimal(38,18))::varchar::double AS total
 FROM silver GROUP BY region
 UNION ALL
-SELECT 'daily_agg', region, count(*), sum(total)::double FROM daily GROUP BY region
+SELECT 'daily_agg', region, count(*), sum(total)::varchar::double FROM daily GROUP BY region
 UNION ALL
-SELECT 'category_metrics', category, count(*), sum(value::decimal(18,4))::double
+SELECT 'category_metrics', category, count(*), sum(value::varchar::decimal(38,18))::varchar::double
 FROM silver WHERE category IS NOT NULL GROUP BY category
 UNION ALL
-SELECT 'single_file', year || ' ' || month, count(*), sum(value::decimal(18,4))::double FROM silver GROUP BY ALL
+SELECT 'export', year || ' ' || month, count(*), sum(value::varchar::decimal(38,18))::varchar::double FROM silver GROUP BY ALL
 """))
 def silver_build(spark, sf_dir):
     """The whole silver job, checked by row counts and totals of its four outputs."""
@@ -276,12 +294,12 @@ def silver_build(spark, sf_dir):
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("region"))
     region.write.option("header", True).csv(region_path)
     base = scratch_path(spark, "silver")
-    targets = {name: f"{base}/{name}" for name in ("main", "daily_agg", "category_metrics", "single_file")}
+    targets = {name: f"{base}/{name}" for name in ("main", "daily_agg", "category_metrics", "export")}
     paths = run_silver(spark, bronze_path, region_path, targets, SALES_RULES)
 
     def totals_of(name, label, value="value"):
         rows = read_source(spark, paths[name], "parquet").groupBy(label.alias("label"))
-        return rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(value).cast(schemas.MONEY)).alias("total"))
+        return rows.agg(F.count(F.lit(1)).alias("row_count"), exact_sum(F.col(value)).alias("total"))
 
     categories = read_source(spark, paths["category_metrics"], "parquet").select(
         F.col("category").alias("label"), F.col("count").alias("row_count"), F.col("category_total").alias("total")
@@ -290,7 +308,7 @@ def silver_build(spark, sf_dir):
         "main": totals_of("main", F.col("region")),
         "daily_agg": totals_of("daily_agg", F.col("region"), "total_value"),
         "category_metrics": categories,
-        "single_file": totals_of("single_file", F.concat_ws(" ", "year", "month")),
+        "export": totals_of("export", F.concat_ws(" ", "year", "month")),
     }
     merged = None
     for name, rows in outputs.items():

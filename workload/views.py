@@ -51,8 +51,9 @@ enriched AS (
     SELECT sales.*, r_name AS region FROM sales LEFT JOIN region ON region_id = r_regionkey
 ),
 daily AS (
-    SELECT data_date, region, sum(value::decimal(18,4)) AS total,
-           sum(value::decimal(18,4))::double / count(value) AS avg_value, count(*) AS transaction_count
+    SELECT data_date, region, sum(value::varchar::decimal(38,18)) AS total,
+           sum(value::varchar::decimal(38,18))::varchar::double / count(value) AS avg_value,
+           count(*) AS transaction_count, 0::bigint AS value_misfits
     FROM enriched GROUP BY data_date, region
 )
 """
@@ -138,7 +139,7 @@ runs AS (
 ),
 stats AS (
     SELECT job_id, count(*) AS runs,
-           sum(runtime_minutes::decimal(18,6))::double / count(runtime_minutes) AS avg_runtime,
+           sum(runtime_minutes::varchar::decimal(38,18))::varchar::double / count(runtime_minutes) AS avg_runtime,
            max(runtime_minutes) AS max_runtime, min(runtime_minutes) AS min_runtime
     FROM runs WHERE job_id IS NOT NULL GROUP BY job_id
 ),
