@@ -51,8 +51,10 @@ def _base(text):
     return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans)]
 
 
-def test_secret_scan_keeps_all_base_findings(spark, texts):
-    rows = QUERIES["op3_secret_scan"](spark, SF_DIR).collect()
+def test_secret_scan_keeps_all_base_findings(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    rows = QUERIES["op3_secret_scan"](spark, sf_dir).collect()
     assert sorted(row.doc_id for row in rows) == sorted(texts)
     found = 0
     for row in rows:
