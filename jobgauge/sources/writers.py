@@ -39,8 +39,8 @@ def write_tables(tables: Mapping[str, DataFrame], at_once: int = 4) -> None:
 def export_copy(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Copy a table that was read from files, without a shuffle.
 
-    Each scan split becomes one file: small files are packed into splits of up to spark.sql.files.maxPartitionBytes, so
-    small data gives one file, and no file holds more than a split.
+    Each scan split becomes one file: no file holds more than spark.sql.files.maxPartitionBytes of the table, and small
+    tables give one file for each core at most.
     """
     table.write.mode(mode).parquet(path)
 

@@ -58,7 +58,8 @@ def test_category_metrics_equal_the_join_of_two_aggregates(spark, sales):
     counts = sales.groupBy("category").count()
     sums = sales.groupBy("category").agg(F.sum(F.col("value").cast("decimal(38,18)")).alias("category_total"))
     metrics = totals.category_metrics(sales)
-    assert rows(metrics) == rows(counts.join(sums, "category"))
+    assert rows(metrics.drop("value_misfits")) == rows(counts.join(sums, "category"))
+    assert metrics.filter("value_misfits > 0").isEmpty()
     assert metrics.count() == 2
     assert plan(totals.category_metrics(sales)).count("Scan") == 1
 
@@ -74,7 +75,7 @@ def test_daily_totals_do_not_depend_on_the_row_order(spark):
 def test_totals_leave_out_what_is_no_number(spark):
     values = [1.0, 3.0, None, float("nan"), float("inf")]
     df = spark.createDataFrame([(DAY[0], "EAST", v) for v in values], "data_date timestamp, region string, value double")
-    assert rows(totals.daily_totals(df)) == [(DAY[0], "EAST", decimal.Decimal(4), 2.0, 5, 0)]
+    assert rows(totals.daily_totals(df)) == [(DAY[0], "EAST", decimal.Decimal(4), 2.0, 5, 2)]
     assert [r.tax_amount for r in business.add_tax(df).collect()] == [0.09, 0.27, None, None, None]
 
 
