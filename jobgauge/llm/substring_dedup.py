@@ -182,13 +182,16 @@ def _matched(texts: DataFrame, window_words: int) -> DataFrame:
 
     def match(shard: pd.DataFrame) -> pd.DataFrame:
         rows: list[tuple[int, int, int, int]] = []
-        for _, group in shard.sort_values(["key", "doc", "place"]).groupby("key", sort=False):
-            automaton = SuffixAutomaton()
-            group = group.drop_duplicates(["doc", "place"])  # equal rows of the documents
-            for doc, at, words in zip(group["doc"], group["place"], group["words"], strict=True):
-                part, first = at >> 32, at & 0xFFFFFFFF
-                for low, high in long_matches(automaton.add_matching(words.tolist()), window_words):
-                    rows.append((doc, part, first + low, first + high))
+        shard = shard.sort_values(["key", "doc", "place"])
+        last_key = last_place = None
+        for key, doc, at, words in zip(shard["key"], shard["doc"], shard["place"], shard["words"], strict=True):
+            if key != last_key:
+                automaton, last_key, last_place = SuffixAutomaton(), key, None
+            if (doc, at) == last_place:  # equal rows of the documents
+                continue
+            last_place, part, first = (doc, at), at >> 32, at & 0xFFFFFFFF
+            for low, high in long_matches(automaton.add_matching(words.tolist()), window_words):
+                rows.append((doc, part, first + low, first + high))
         return pd.DataFrame(rows, columns=["doc", "part", "first", "end"], dtype="int64")
 
     return texts.groupBy("shard").applyInPandas(match, "doc bigint, part bigint, first bigint, end bigint")
