@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from jobgauge.llm.components import connected_components
 from jobgauge.llm.words import NOT_SPACE, U64, mixed, run_hashes, signed, split_words, text_blocks, word_hashes
-from jobgauge.sources.scratch import written
+from jobgauge.sources.scratch import remove, scratch_path, written
 
 #: Words of a shingle, and the least similarity in percent.
 SHINGLE_WORDS = 4
@@ -217,7 +217,8 @@ def keep_first(documents: DataFrame, linked: DataFrame) -> DataFrame:
     )
     decided = written(decided, "decisions")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_row"))
-    joined = documents.join(decided, same, "left").filter("_stays OR _stays IS NULL")
+    # The list grows with the documents and is never broadcast, so that the plan is alike at every size.
+    joined = documents.join(decided.hint("shuffle_merge"), same, "left").filter("_stays OR _stays IS NULL")
     single = joined.filter("_n IS NULL OR _n = 1").select(*documents.columns)
     order = Window.partitionBy("doc_id", "_row").orderBy(F.xxhash64(*documents.columns))
     repeated = joined.filter("_n > 1").withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
@@ -226,10 +227,15 @@ def keep_first(documents: DataFrame, linked: DataFrame) -> DataFrame:
 
 def _members(keys: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The rows of `keys`, with size and sketch, whose group has another set close enough to be linked."""
-    # A semi-join instead of a window or a list: a group with very many sets is split, and one shuffle serves both sides.
+    # A semi-join instead of a window or a list: a group with very many sets is split. Read from a table, the keys are
+    # made and shuffled once for both sides.
+    spark, path = keys.sparkSession, scratch_path(keys.sparkSession, "keys")
+    keys.write.parquet(path)
+    keys = spark.read.schema(keys.schema).parquet(path)
     left, right = _prefixed(keys, "a_"), _prefixed(keys, "b_")
     other = (F.col("a_key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class"))
     shared = written(_unprefixed(left.join(right, other, "left_semi"), "a_").distinct(), "shared-keys")
+    remove(spark, path)
     described = classes.select("class", "n_shingles", *SKETCH)
     wide = written(shared.join(described, "class"), "shared-sets")
     left, right = _prefixed(wide, "a_"), _prefixed(wide, "b_")
@@ -248,7 +254,7 @@ def _unprefixed(df: DataFrame, prefix: str) -> DataFrame:
 def _member_sets(documents: DataFrame, members: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
     """class and shingles of the sets that take part, computed anew from one document of each."""
     wanted = members.select("class").distinct().join(classes.select("class", "first_doc"), "class")
-    needed = wanted.select("first_doc")
+    needed = wanted.select("first_doc").hint("shuffle_merge")
     texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["first_doc"]), "left_semi")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
