@@ -163,14 +163,15 @@ def close(a: str, b: str, percent: int) -> Column:
 def link_documents(
     documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """One row per row of `documents`: doc_id, row (a hash of the text), n_shingles, class (equal for equal sets) and
-    component_id.
+    """One row per row of `documents`: doc_id, row (a hash of the text), n_shingles, class (equal for equal sets), root
+    (the class that names the component) and component_id.
 
     Words are runs between ASCII white space with A to Z lower-cased; a document's set has its distinct shingles of
     `shingle_words` words, or its whole sequence where it has fewer. Documents link when
     100 * intersection >= percent * union, and component_id is the smallest doc_id reachable by links. NULL, empty and
-    blank texts have an empty set, class NULL, no links, and their own doc_id. Repeated rows stay and are linked. Rows
-    with a NULL doc_id take part; a component of such rows only has a NULL component_id. Other columns are ignored.
+    blank texts have an empty set, class NULL, no links, root NULL, and their own doc_id. Repeated rows stay and are linked.
+    Rows with a NULL doc_id take part; a component of such rows only has a NULL component_id. Only root tells components
+    apart where doc_id is NULL or repeated. Other columns are ignored.
     Shingles and sets are compared by 64-bit and 128-bit hashes.
     """
     documents = documents.select("doc_id", "text")
@@ -189,13 +190,13 @@ def link_documents(
     named = classes.join(roots, classes["class"] == roots["node"], "left").withColumn("root", F.coalesce("root", "class"))
     named = written(named.select("class", "class2", "root", "first_doc"), "named-classes")
     components = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    known = named.join(components, "root").select("class", "class2", "component_id")
+    known = named.join(components, "root").select("class", "class2", "root", "component_id")
     return (
         filled.join(known, ["class", "class2"])
-        .select("doc_id", "row", "n_shingles", "class", "component_id")
+        .select("doc_id", "row", "n_shingles", "class", "root", "component_id")
         .unionByName(
             rows.filter("n_shingles = 0").select(
-                "doc_id", "row", "n_shingles", "class", F.col("doc_id").alias("component_id")
+                "doc_id", "row", "n_shingles", "class", F.col("class").alias("root"), F.col("doc_id").alias("component_id")
             )
         )
     )
@@ -205,14 +206,14 @@ def keep_first(documents: DataFrame, linked: DataFrame) -> DataFrame:
     """`documents` with one row of each component of `linked`, the result of `link_documents` for them.
 
     The row with the smallest doc_id stays, then the one with the smallest text hash; of rows equal in both, the one with
-    the smallest hash of all columns. Texts without words all stay.
+    the smallest hash of all columns. Unlinked texts both stay, whatever their doc_id. Texts without words all stay.
     """
-    rows = linked.filter("class IS NOT NULL").groupBy("component_id", "doc_id", "row").agg(F.count("*").alias("n"))
+    rows = linked.filter("class IS NOT NULL").groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
     rows = written(rows, "linked-rows")
     identity = F.struct("doc_id", "row")
-    groups = rows.groupBy(F.col("component_id").alias("of")).agg(F.min(identity).alias("first"), F.sum("n").alias("total"))
+    groups = rows.groupBy(F.col("root").alias("of")).agg(F.min(identity).alias("first"), F.sum("n").alias("total"))
     # Rows that are alone in their component need no decision.
-    decided = rows.join(groups.filter("total > 1"), F.col("component_id").eqNullSafe(F.col("of"))).select(
+    decided = rows.join(groups.filter("total > 1"), F.col("root") == F.col("of")).select(
         F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), (identity == F.col("first")).alias("_stays"), F.col("n").alias("_n")
     )
     decided = written(decided, "decisions")

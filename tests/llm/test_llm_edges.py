@@ -188,6 +188,15 @@ def test_jaccard_join_against_all_pairs(spark):
     assert jaccard_join.link_documents(documents(spark, [])).count() == 0
 
 
+def test_keep_first_tells_components_without_own_ids_apart(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    rows = [(None, texts[0], "s"), (None, texts[1], "s"), (7, texts[2], "s"), (7, texts[3], "s")]
+    copies = [(None, texts[0], "s"), (None, texts[1] + " more", "s"), (7, texts[3], "s")]
+    df = documents(spark, rows + copies)
+    kept = jaccard_join.keep_first(df, jaccard_join.link_documents(df)).select("doc_id", "text").collect()
+    assert sorted((r.text[:2], r.doc_id) for r in kept) == [("a0", None), ("b0", None), ("c0", 7), ("d0", 7)]
+
+
 def test_connected_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)], "a bigint, b bigint")
     out = {r.node: r.root for r in connected_components(links, "a", "b").collect()}
