@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from jobgauge.llm import decontaminate, jaccard_join, line_dedup, mixing, quality
 from jobgauge.sources.scratch import written
 
+#: Words of a shingle, and the least similarity in percent, of near copies; the op5 query has values of its own.
+SHINGLE_WORDS = 5
+PERCENT = 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier scores below 0.5. Labels come from the labels table.
@@ -31,7 +35,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest doc_id; see `jaccard_join.keep_first`."""
-    return jaccard_join.keep_first(docs, jaccard_join.link_documents(docs))
+    return jaccard_join.keep_first(docs, jaccard_join.link_documents(docs, shingle_words=SHINGLE_WORDS, percent=PERCENT))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

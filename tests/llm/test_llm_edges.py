@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from jobgauge.llm import (
     chat_format,
     decontaminate,
@@ -197,6 +198,14 @@ def test_keep_first_tells_components_without_own_ids_apart(spark):
     assert sorted((r.text[:2], r.doc_id) for r in kept) == [("a0", None), ("b0", None), ("c0", 7), ("d0", 7)]
 
 
+def test_near_copies_of_the_pipeline_by_five_words(spark):
+    words = [f"w{i}" for i in range(245)]
+    rows = [(1, " ".join(words[:200]), "s"), (2, " ".join(words), "s"), (3, " ".join(words[:200] + words[60:0:-1]), "s")]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, documents(spark, rows), "")
+    # 196 of 241 five-word shingles are shared with the second text, 196 of 256 with the third.
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_connected_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)], "a bigint, b bigint")
     out = {r.node: r.root for r in connected_components(links, "a", "b").collect()}
