@@ -115,15 +115,25 @@ class _Draw:
         return number % n
 
 
+def surname_of(person: str) -> str:
+    """The normal form of the surname, script and last word, of the normal form of a person."""
+    return f"{person.split(':', 1)[0]}:{person.split(':', 2)[2].split()[-1]}"
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The replacement of a normal form, a normal form of the same kind; each attempt gives another one."""
+    """The replacement of a normal form, a normal form of the same kind; each attempt gives another one.
+
+    That of a surname is its script and stem. That of a person is what tells full names apart: script, drawn given names
+    and, as real and drawn surnames go one to one, the real surname. A surname alone is a person of its own.
+    """
     draw = _Draw(key, kind, value, attempt)
+    if kind == "surname":
+        script = value.partition(":")[0]
+        return f"{script}:{''.join(SYLLABLES[script][draw.below(16)] for _ in range(3 + attempt))}"
     if kind == "person":
-        script, gender, name = value.split(":", 2)
-        last = "".join(SYLLABLES[script][draw.below(16)] for _ in range(3 + attempt // 4)) + _LAST_END.get((script, gender), "")
-        first = FIRST_NAMES[script, gender]
-        given = [first[draw.below(len(first))].lower() for _ in name.split()[1:]]
-        return f"{script}:{gender}:{' '.join([*given, last])}"
+        script, surname = surname_of(value).split(":")
+        given = _given_names(draw, value, attempt)
+        return f"{script}::{' '.join([*given, surname])}" if given else f"::{value}"
     if kind == "ip":
         parts = value.split(".")
         kept = 2 if value.startswith("192.168.") else 1 if parts[0] in ("10", "127") else 0
@@ -139,6 +149,24 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     return digits
 
 
+def _given_names(draw: _Draw, person: str, attempt: int) -> list[str]:
+    """A name for each given name; later attempts join two, and then add syllables to have ever more of them."""
+    script, gender, name = person.split(":", 2)
+    first, given = FIRST_NAMES[script, gender], []
+    for _ in name.split()[1:]:
+        parts = [first[draw.below(len(first))].lower() for _ in range(1 + (attempt > 0))]
+        given.append("-".join(parts) + "".join(SYLLABLES[script][draw.below(16)] for _ in range(attempt - 1)))
+    return given
+
+
+def person_surrogate(key: bytes, person: str, attempt: int = 0, surname_attempt: int = 0) -> str:
+    """The drawn full name of a person as a normal form, from the attempts of the person and of the surname."""
+    script, gender, _ = person.split(":", 2)
+    stem = surrogate(key, "surname", surname_of(person), surname_attempt).partition(":")[2]
+    given = _given_names(_Draw(key, "person", person, attempt), person, attempt)
+    return f"{script}:{gender}:{' '.join([*given, stem + _LAST_END.get((script, gender), '')])}"
+
+
 def _redrawn(text: str, draw: _Draw) -> str:
     letters = "abcdefghijklmnopqrstuvwxyz"
     return "".join(
@@ -156,7 +184,7 @@ def render(entity: Entity, found: str, replacement: str) -> str:
     if entity.kind == "person":
         words = replacement.split(":", 2)[2].split()
         count = len(found.split())
-        styled = [w.upper() if f.isupper() else w.capitalize() for w, f in zip(words[-count:], found.split(), strict=False)]
+        styled = [w.upper() if f.isupper() else w.title() for w, f in zip(words[-count:], found.split(), strict=False)]
         return " ".join(styled)
     if entity.kind in ("ssn", "card", "phone"):
         digits = iter(replacement)
@@ -187,19 +215,21 @@ def marked_rows(column: pa.Array) -> list[int]:
 
 
 def entity_table(documents: DataFrame) -> DataFrame:
-    """Distinct (doc_id, text hash, kind, value) of all documents."""
+    """Distinct (doc_id, text hash, kind, value) of all documents, the surnames of persons included as a kind of their own."""
     hashed = documents.select("doc_id", F.xxhash64("text").alias("row"), "text")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, kinds, values = [], [], []
+            at, kinds, names = [], [], []
             for row in marked_rows(batch.column(2)):
-                for kind, value in {(e.kind, e.value) for e in find_entities(batch.column(2)[row].as_py())}:
+                values = {(e.kind, e.value) for e in find_entities(batch.column(2)[row].as_py())}
+                values |= {("surname", surname_of(value)) for kind, value in values if kind == "person"}
+                for kind, value in values:
                     at.append(row)
                     kinds.append(kind)
-                    values.append(value)
+                    names.append(value)
             columns = [c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]]
-            texts = [pa.array(kinds, pa.string()), pa.array(values, pa.string())]
+            texts = [pa.array(kinds, pa.string()), pa.array(names, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + texts, ["doc_id", "row", "kind", "value"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -222,9 +252,12 @@ def surrogate_table(values: DataFrame, key: bytes) -> DataFrame:
 
     Of the entities that draw one surrogate, the one with the lowest attempt, then value, keeps it, and the others draw
     again; so do those whose surrogate occurs as an entity. Every round is an aggregate and two joins of the entities.
+    What is written of persons is distinct only with their surnames among the values, as `entity_table` gives them.
     """
     table = written(_with_surrogates(values.withColumn("attempt", F.lit(0)), key), "surrogates")
-    real = values.select("kind", F.col("value").alias("made"), F.lit(True).alias("real"))
+    # A drawn surname is a stem, and its endings are written to it later.
+    stem = F.when(F.col("kind") == "surname", F.regexp_replace("value", "^(cyrillic:.*)ова?$", "$1")).otherwise(F.col("value"))
+    real = values.select("kind", stem.alias("made"), F.lit(True).alias("real")).distinct()
     while True:
         # What has been kept stays: an entity that draws again never takes a surrogate from one that need not.
         keeper = table.groupBy("kind", "made").agg(F.min(F.struct("attempt", "value")).alias("keeper"))
@@ -242,7 +275,8 @@ def replace_pii(documents: DataFrame, key: bytes) -> DataFrame:
     """`documents` with personal data in `text` replaced, and _entities (kind, start, end, surrogate), places of the input.
 
     An entity's surrogate depends on the key, its kind and its normal form, so it is the same wherever the entity occurs,
-    and different entities have different ones, over all documents. NULL texts stay NULL and have no entities; texts
+    and different entities have different ones, over all documents. A person is written with one surrogate surname for
+    each real one in a script, whether the full name is found or the surname alone. NULL texts stay NULL and have no entities; texts
     without entities stay as they are; repeated rows stay; other columns pass through, but for one named _entities or
     _redrawn. Entities whose first surrogate collides are few; only they are joined back to their documents.
     """
@@ -286,7 +320,11 @@ def replace_pii(documents: DataFrame, key: bytes) -> DataFrame:
 def _replaced(text: str, entities: list[Entity], later: dict[tuple[str, str], int], key: bytes) -> tuple[str, list[dict]]:
     parts, marks, at = [], [], 0
     for e in entities:
-        made = surrogate(key, e.kind, e.value, later.get((e.kind, e.value), 0))
+        attempt = later.get((e.kind, e.value), 0)
+        if e.kind == "person":
+            made = person_surrogate(key, e.value, attempt, later.get(("surname", surname_of(e.value)), 0))
+        else:
+            made = surrogate(key, e.kind, e.value, attempt)
         shown = render(e, text[e.start : e.end], made)
         parts += [text[at : e.start], shown]
         marks.append({"kind": e.kind, "start": e.start, "end": e.end, "surrogate": shown})

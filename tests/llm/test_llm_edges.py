@@ -305,6 +305,23 @@ def test_pii_surrogates_stay_distinct_in_a_small_space(spark):
     assert max(r.attempt for r in table) > 0
 
 
+def test_pii_people_stay_distinct_by_surname_alone(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choices("abcdefghiklmnoprstuvz", k=8)).capitalize() for _ in range(3000)]
+    rows = [(i, f"Mr. Otto {name} came. {name} left.", "s") for i, name in enumerate(names)]
+    rows += [(5000 + i, f"Mr. Given{chr(97 + i // 26)}{chr(97 + i % 26)} Sharedname came.", "s") for i in range(200)]
+    rows += [(6000, "г-н Иван Петров, г-жа Ольга Петрова", "s"), (6001, "Mr. Doe met Mrs. Doe and Dr. Ann Doe.", "s")]
+    out = {r.doc_id: r for r in pii.replace_pii(documents(spark, rows), b"key").collect()}
+    alone = [out[i]._entities[1].surrogate for i in range(3000)]
+    assert len(set(alone)) == len(set(names)) and not set(alone) & set(names)
+    assert all(out[i]._entities[0].surrogate.split()[1] == alone[i] for i in range(3000))
+    full = [out[5000 + i]._entities[0].surrogate for i in range(200)]
+    assert len(set(full)) == 200 and len({name.split()[1] for name in full}) == 1
+    man, woman = (e.surrogate.split()[1] for e in out[6000]._entities)
+    assert man.endswith("ов") and woman.endswith("ова")
+    assert len({e.surrogate.split()[-1] for e in out[6001]._entities}) == 1
+
+
 # Mixing
 
 
