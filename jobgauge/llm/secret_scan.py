@@ -29,6 +29,10 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 #: Candidates: unbroken runs of the characters secrets are made of, with at least one digit.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _DIGIT = re.compile(r"[0-9]")
+#: What is known to be no secret: numbers with a check digit; words, and identifiers of parts in usual case.
+_NUMBER = re.compile(r"[0-9]{13,19}")
+_PART = r"(?:[^\W\d_A-Z]+|[A-Z][^\W\d_A-Z]+|[A-Z]+)"
+_WORD = re.compile(rf"(?<!\S)(?=\S{{6}}){_PART}(?:[_./-]{_PART})*(?=[.,;:!?]?(?!\S))")
 #: What every assign or access finding holds, in lower case: texts without one of these need no pattern.
 _NAMES = (b"passw", b"secret", b"token", b"api", b"akia")
 _RUN = np.zeros(256, bool)
@@ -41,7 +45,8 @@ Span = tuple[int, int, int]  # start, index of the kind, end
 
 @dataclass(frozen=True)
 class ScanParams:
-    """`max_findings` bounds the labelled findings of each class that reach the driver to be learnt from."""
+    """`max_findings` bounds the labelled findings of each class that reach the driver to be learnt from; a word is
+    ordinary from `min_texts` texts on."""
 
     context: int = 24
     middle: int = 48
@@ -52,7 +57,7 @@ class ScanParams:
     rate: float = 0.01
     max_findings: int = 1500
     min_recall: float = 0.98
-    min_precision: float = 0.98
+    min_texts: int = 3
     seed: int = 7
 
 
@@ -181,8 +186,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def train_net(codes: np.ndarray, labels: np.ndarray, params: ScanParams = DEFAULTS) -> SecretNet:
     """Train on three quarters of the findings by Adam; calibrate and choose the threshold on the rest.
 
-    The threshold is the highest that keeps `min_recall` of the calibration secrets. Where the precision there is below
-    `min_precision`, or findings of a class are lacking, the threshold is above 1: the network adds nothing.
+    The threshold is the highest that keeps `min_recall` of the calibration secrets, whatever the precision, which the
+    report has. Where findings of a class are lacking there is nothing to learn, and the threshold is above 1.
     """
     net = SecretNet.fresh(params)
     rng = np.random.default_rng(params.seed)
@@ -245,13 +250,13 @@ def _calibrate(net: SecretNet, logits: np.ndarray, labels: np.ndarray) -> None:
     chosen = p >= net.threshold
     recall, precision = float(chosen[labels == 1].mean()), float(labels[chosen].mean())
     net.report = {"findings": len(p), "recall": recall, "precision": precision, "threshold": net.threshold}
-    if precision < net.params.min_precision:
-        net.threshold = 2.0
 
 
 def fit_secret_net(documents: DataFrame, params: ScanParams = DEFAULTS) -> SecretNet:
-    """A network learnt from the findings of the base patterns in `documents` against the other candidates.
+    """A network learnt from the findings of the base patterns in `documents` against what is known to be no secret.
 
+    That are numbers with a valid check digit, and words and identifiers as in `_word_negatives`. Other candidates have no
+    label, as any of them may be a secret without a name: none is learnt from.
     At most `max_findings` distinct windows of each class, taken by a hash over all documents, reach the driver. Half of
     the secrets are learnt between the words around something else, so that an unknown name does not hide a secret.
     """
@@ -263,8 +268,10 @@ def fit_secret_net(documents: DataFrame, params: ScanParams = DEFAULTS) -> Secre
                 text = batch.column(0)[row].as_py()
                 base = _Taken(base_spans(text))
                 for first, end in candidates(text):
-                    windows.append(window(text, first, end, params))
-                    labels.append(int(base.meets(first, end)))
+                    label = int(base.meets(first, end))
+                    if label or _checked_number(text[first:end]):
+                        windows.append(window(text, first, end, params))
+                        labels.append(label)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(windows, pa.string()), pa.array(labels, pa.int32())], ["window", "label"]
             )
@@ -288,24 +295,40 @@ def fit_secret_net(documents: DataFrame, params: ScanParams = DEFAULTS) -> Secre
     return train_net(encode(windows), np.array([row.label for row in chosen], float), params)
 
 
+def _checked_number(run: str) -> bool:
+    """Whether a run is a number of 13 to 19 digits whose last one checks the others."""
+    if not _NUMBER.fullmatch(run):
+        return False
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(run))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
 def _word_negatives(documents: DataFrame, params: ScanParams) -> list:
-    """Windows around long words of a bounded sample of documents, which stand for what is no secret."""
+    """Windows around words and identifiers of a bounded sample of documents, which stand for what is no secret.
+
+    They are letters, in parts of usual case, and occur in `min_texts` different texts of the sample at least.
+    """
 
     def ordinary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows = []
-            for text in batch.column(0).to_pylist():
+            rows: list[tuple[str, int, str]] = []
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 base = _Taken(base_spans(text))
-                for m in re.finditer(r"\S{12,}", text):
+                for m in _WORD.finditer(text):
                     if not base.meets(m.start(), m.end()):
-                        windows.append(window(text, m.start(), m.end(), params))
+                        rows.append((m[0].lower(), own, window(text, m.start(), m.end(), params)))
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            kinds = (pa.string(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(windows, pa.string()), pa.array([0] * len(windows), pa.int32())], ["window", "label"]
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], ["word", "own", "window"]
             )
 
     every = max(1, documents.count() // params.max_findings)
-    texts = documents.filter("text <> ''").select("text").filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    found = texts.mapInArrow(ordinary, "window string, label int").distinct()
+    texts = documents.filter("text <> ''").select(F.xxhash64("text").alias("own"), "text")
+    texts = texts.filter(F.pmod(F.col("own"), F.lit(every)) == 0)
+    found = written(texts.mapInArrow(ordinary, "word string, own bigint, window string"), "ordinary-words")
+    usual = found.groupBy("word").agg(F.count_distinct("own").alias("n")).filter(F.col("n") >= params.min_texts)
+    found = found.join(usual, "word", "left_semi").select("window", F.lit(0).alias("label")).distinct()
     return found.orderBy(F.xxhash64("window"), "window").limit(params.max_findings).collect()
 
 

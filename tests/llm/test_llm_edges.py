@@ -128,6 +128,26 @@ def test_secret_net_finds_secrets_without_a_name(spark):
     assert sum(any(s.end - s.start == 16 for s in r._spans) for r in found) < 5
 
 
+def test_secret_net_finds_unnamed_secrets_of_its_own_corpus(spark):
+    rng = random.Random(2)
+    words = ["alphabet", "betatron", "gamma-ray", "delta", "number", "value"]
+
+    def prose():
+        return " ".join(rng.choices(words, k=8))
+
+    def secret():
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=32))
+
+    rows = [(i, f"{prose()} token = \"{secret()}\" {prose()} {rng.randrange(10**15, 10**16)} {prose()}", "s") for i in range(500)]
+    rows += [(1000 + i, f"{prose()} {secret()} {prose()}", "s") for i in range(300)]
+    df = documents(spark, rows)
+    net = secret_scan.fit_secret_net(df)
+    assert net.threshold <= 1 and net.report["recall"] >= 0.97
+    found = {r.doc_id: r._spans for r in secret_scan.scan_secrets(df, net).collect()}
+    assert sum(any(s.kind == "learned" and s.end - s.start == 32 for s in found[1000 + i]) for i in range(300)) > 240
+    assert sum(any(s.end - s.start == 16 for s in found[i]) for i in range(500)) < 25
+
+
 # Quality
 
 
