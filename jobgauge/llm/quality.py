@@ -16,11 +16,12 @@ from jobgauge.sources.scratch import written
 
 @dataclass(frozen=True)
 class QualityParams:
-    """`max_rows` bounds the labelled rows that are learnt from, and with `max_features` what reaches the driver."""
+    """`max_rows` bounds the labelled rows that are learnt from, and `max_features` the features of all of them together,
+    and so what reaches the driver."""
 
     bits: int = 18
     max_rows: int = 4000
-    max_features: int = 4000
+    max_features: int = 16_000_000
     epochs: int = 4
     alpha: float = 0.5
     beta: float = 1.0
@@ -125,8 +126,8 @@ def fit_quality(documents: DataFrame, labels: DataFrame, params: QualityParams =
     """A model from at most `max_rows` labelled rows, taken by a hash of doc_id; held-out rows take no part.
 
     A document with both labels, or with a NULL one, is left out; repeated rows of one doc_id and text count once. The
-    whole text makes the features; of a text with more than `max_features`, training sees those with the least bucket
-    hashes, while scoring sees all.
+    whole text makes the features, in training as in scoring. Rows are taken whole, in the order of the hash, up to
+    `max_features` features in all.
     """
     known = labels.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other"))
     known = known.filter((F.col("label") == F.col("other")) & F.col("label").isin(0, 1) & ~held_out("doc_id"))
@@ -138,9 +139,6 @@ def fit_quality(documents: DataFrame, labels: DataFrame, params: QualityParams =
         for batch in batches:
             buckets, values = [], []
             for _, bucket, value in text_features(batch.column(2), params.bits):
-                if len(bucket) > params.max_features:
-                    kept = np.argsort(mixed(bucket.astype(U64)))[: params.max_features]
-                    bucket, value = bucket[kept], value[kept]
                 buckets.append(bucket)
                 values.append(value)
             columns = [pa.array(buckets, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))]
@@ -149,16 +147,23 @@ def fit_quality(documents: DataFrame, labels: DataFrame, params: QualityParams =
             )
 
     schema = "draw bigint, label int, buckets array<int>, weights array<float>"
-    features = rows.mapInArrow(featurize, schema).toArrow()
-    drawn = zip(*[features.column(name) for name in features.column_names], strict=True)
+    features = written(rows.mapInArrow(featurize, schema).distinct(), "quality-features")
     # The updates follow the draw, whatever the partitions; equal rows count once.
-    unique = {
-        (draw.as_py(), np.array(buckets.values, np.int32).tobytes(), np.array(values.values, np.float32).tobytes()): label.as_py()
+    row = F.xxhash64("buckets", "weights")
+    sizes = features.select("draw", row.alias("row"), F.size("buckets").alias("n")).orderBy("draw", "row").limit(params.max_rows)
+    sizes = sizes.toArrow().to_pylist()
+    n_taken = int(np.searchsorted(np.cumsum([size["n"] for size in sizes]), params.max_features, "right"))
+    if not n_taken:
+        return train_ftrl([], params)
+    last = F.struct(F.lit(sizes[n_taken - 1]["draw"]).alias("draw"), F.lit(sizes[n_taken - 1]["row"]).alias("row"))
+    taken = features.filter(F.struct("draw", row.alias("row")) <= last).toArrow()
+    drawn = zip(*[taken.column(name) for name in taken.column_names], strict=True)
+    learnt = [
+        (draw.as_py(), np.array(buckets.values, np.int32), np.array(values.values, np.float32), label.as_py())
         for draw, label, buckets, values in drawn
-    }
-    return train_ftrl(
-        [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32), y) for (_, b, v), y in sorted(unique.items())], params
-    )
+    ]
+    learnt.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))
+    return train_ftrl([(buckets, values, label) for _, buckets, values, label in learnt], params)
 
 
 def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,6 +172,18 @@ def test_quality_odd_rows(spark):
     assert quality.score_quality(df.limit(0), model).count() == 0
 
 
+def test_quality_learns_from_all_of_a_long_text(spark):
+    texts = {i: " ".join(f"{word}{k}" for k in range(5000)) for i, word in ((1, "good"), (7, "bad"))}
+    labels = spark.createDataFrame([(i, int("good" in t), 0) for i, t in texts.items()], "doc_id bigint, quality int, toxic int")
+    assert labels.filter(~quality.held_out("doc_id")).count() == 2
+    df = documents(spark, [(i, t, "s") for i, t in texts.items()] * 2)
+    params = quality.QualityParams(l1=0.0)
+    model = quality.fit_quality(df, labels, params)
+    for text in texts.values():
+        (_, buckets, _), = quality.text_features(pa.array([text]), params.bits)
+        assert len(buckets) > 4000 and np.count_nonzero(model.weights[buckets]) > 0.99 * len(buckets)
+
+
 # N-gram Jaccard join
 
 
