@@ -386,6 +386,31 @@ def test_mixing_targets_stop_at_three_sizes(spark):
     assert abs(out["b"] - 1980 * 2 / 3) < 1e-9 and abs(out["c"] - 1980 / 3) < 1e-9
 
 
+def test_mixing_prefixes_hold_the_weights(spark):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.randrange(1, 60), "abc"[i % 3]) for i in range(900)] + [(1000, None, "a"), (1001, " ", None)]
+    df = documents(spark, rows)
+    mixed = mixing.mix_rows(df, block_words=64).collect()
+    plan = mixing.mix(df, block_words=64).collect()
+    assert all(r.slot is not None and r.first < r.end for r in mixed)
+    assert len({r.slot for r in mixed if r.source == "a"} & {r.slot for r in mixed if r.source == "b"}) == 0
+    taken = {}
+    for r in mixed:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.end - r.first
+    assert all(taken.get(r.doc_id, 0) == r.taken for r in plan)
+    targets = {r.source: r.target for r in plan}
+    whole, so_far, done = sum(targets.values()), dict.fromkeys(targets, 0), 0
+    for r in sorted(mixed, key=lambda r: (r.slot, r.at)):
+        so_far[r.source] += r.end - r.first
+        done += r.end - r.first
+        assert all(abs(so_far[s] - done * targets[s] / whole) < 64 * 8 for s in targets)
+    # The ranges of a slot follow each other without a gap.
+    ends = {}
+    for r in sorted(mixed, key=lambda r: (r.slot, r.at)):
+        assert r.at == ends.get(r.slot, 0)
+        ends[r.slot] = r.at + r.end - r.first
+
+
 # Exact top-k search
 
 
