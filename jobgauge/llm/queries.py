@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobgauge.llm import chat_format, decontaminate, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, substring_dedup, topk
+from jobgauge.llm import (
+    chat_format, decontaminate, jaccard_join, line_dedup, merkle, mixing, pii, quality, repair, secret_scan, sharding, substring_dedup, topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,3 +346,230 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.transform("_entities", lambda e: F.concat_ws(":", e["kind"], e["start"], e["end"]))).alias("spans"),
         "text",
     )
+
+
+#: The CRC-32 of a list of bytes in hexadecimal digits, a column named bytes, by the table of the reversed polynomial.
+_CRC_TABLE = """
+    SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS t
+    FROM range(256) AS x(n)
+"""
+_CRC = """xor(list_reduce(list_transform(regexp_extract_all(hex(encode(bytes)), '..'), lambda h: ('0x' || h)::BIGINT),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295)"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    placed AS (
+        SELECT doc_id, coalesce(text, '') AS bytes, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text) NULLS FIRST) - 1 AS number,
+               count(*) OVER () AS n
+        FROM documents
+    ),
+    grid AS (SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS high FROM placed LIMIT 1),
+    cells AS (SELECT n, high, (n + high - 1) // high AS low FROM grid),
+    steps AS (
+        SELECT number, 0 AS step, number // low AS h, number % low AS l FROM placed, cells
+        UNION ALL
+        SELECT number, step + 1,
+               CASE WHEN step % 2 = 0 THEN (h + ('0x' || substr(md5('{sharding.SEED}:' || step % {sharding.ROUNDS} || ':' || l), 1, 15))::BIGINT % high) % high
+                    ELSE h END,
+               CASE WHEN step % 2 = 1 THEN (l + ('0x' || substr(md5('{sharding.SEED}:' || step % {sharding.ROUNDS} || ':' || h), 1, 15))::BIGINT % low) % low
+                    ELSE l END
+        FROM steps, cells WHERE step = 0 OR step % {sharding.ROUNDS} <> 0 OR h * low + l >= n
+    ),
+    ends AS (
+        SELECT number, h * low + l AS place FROM steps, cells WHERE step > 0 AND step % {sharding.ROUNDS} = 0 AND h * low + l < n
+    )
+    SELECT doc_id, octet_length(encode(bytes)) + 1 AS size, {_CRC} AS text_crc32, 'rows' AS law,
+           CAST(place % {sharding.SHARDS} AS INTEGER) AS shard, place // {sharding.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM placed JOIN ends USING (number), crc
+    """
+)
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal texts are rows like any other: the law is that of the rows, whatever they hold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce("document.text", F.lit(""))
+    return sharding.shard_documents(documents).select(
+        "document.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def _added(path: str, cost: int | str, letters: str) -> str:
+    """A path, twelve digits of cost and the audit, with more of both; NULL stays NULL."""
+    return f"(lpad(CAST(substr({path}, 1, 12)::BIGINT + {cost} AS VARCHAR), 12, '0') || substr({path}, 13) || '{letters}')"
+
+
+_ADD_REROLE = f"{repair.REROLE} + extra"
+_MAY = "CASE WHEN may THEN {} END"
+_BY_ROW = {
+    "s0": _added("s0", repair.DELETE, "D"),
+    "s1": f"least({_added('s1', repair.DELETE, 'D')}, CASE WHEN may AND initial = 's' THEN {_added('s0', 'extra', 'K')} END)",
+    "s2": "least(" + ", ".join(
+        [_added("b2", repair.DELETE, "D")]
+        + [_MAY.format(_added(s, _ADD_REROLE, "R")) for s in ("s0", "s1", "b3")]
+        + [f"CASE WHEN may AND initial = 'u' THEN {_added(s, 'extra', 'K')} END" for s in ("s0", "s1", "b3")]
+    ) + ")",
+    "s3": f"least({_added('b3', repair.DELETE, 'D')}, {_MAY.format(_added('b2', _ADD_REROLE, 'R'))}, "
+          f"CASE WHEN may AND initial = 'a' THEN {_added('b2', 'extra', 'K')} END)",
+}
+_B2 = "least(s2, " + ", ".join(_added(s, repair.INSERT, "I") for s in ("s0", "s1", "s3")) + ")"
+_B3 = f"least(s3, {_added('b2', repair.INSERT, 'I')})"
+
+
+@query(
+    rf"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS bytes
+        FROM conversations
+    ),
+    kinds AS (SELECT conv_id, turn, role, text, {_CRC} % 20 AS kind FROM keyed, crc),
+    damaged AS (
+        SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM kinds, range(2) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+    ),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, substr(role, 1, 1) AS initial
+        FROM damaged
+    ),
+    faults AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                       WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' END AS fault,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+        FROM ranked
+    ),
+    turns AS (
+        SELECT *, fault IS NULL OR fault = 'truncated' AS may, CASE WHEN fault = 'truncated' THEN {repair.TRUNCATED} ELSE 0 END AS extra
+        FROM faults
+    ),
+    counts AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM turns GROUP BY conv_id
+    ),
+    paths AS (
+        SELECT conv_id, 0::BIGINT AS i, '000000000000' AS s0, NULL::VARCHAR AS s1, NULL::VARCHAR AS s2, NULL::VARCHAR AS s3 FROM counts
+        UNION ALL
+        SELECT p.conv_id, t.i, {', '.join(_BY_ROW.values())}
+        FROM (SELECT *, {_B3} AS b3 FROM (SELECT *, {_B2} AS b2 FROM paths)) p
+        JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1
+    ),
+    ends AS (
+        SELECT p.conv_id, least(s0, {_B3}) AS best
+        FROM (SELECT *, {_B2} AS b2 FROM paths) p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i
+    ),
+    audits AS (SELECT conv_id, substr(best, 1, 12)::BIGINT AS cost, substr(best, 13) AS audit FROM ends),
+    letters AS (
+        SELECT conv_id, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS spot FROM audits WHERE audit <> ''
+    ),
+    edits AS (
+        SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY spot) AS i,
+               count(*) FILTER (letter <> 'D') OVER (PARTITION BY conv_id ORDER BY spot) AS out
+        FROM letters
+    ),
+    placed AS (
+        SELECT e.conv_id, spot, letter, out, role, text,
+               max(CASE WHEN out = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS shift
+        FROM edits e LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.i = e.i AND e.letter <> 'I'
+        WHERE letter <> 'D'
+    ),
+    repaired AS (
+        SELECT conv_id, string_agg(
+            CASE WHEN letter = 'K' THEN role WHEN (out - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY spot) AS text
+        FROM placed GROUP BY conv_id
+    )
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+           sha256(coalesce(r.text, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+    """
+)
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair_report(turns, repair.repair(repair.damaged(turns)))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"{name}::VARCHAR" for name in merkle.FIELDS[:-1]] + [text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+@query(
+    rf"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    hashed AS (
+        SELECT doc_id, source, {_leaf_sql('text')} AS leaf, {_leaf_sql("replace(text, chr(10), '')")} AS altered, doc_id::VARCHAR AS bytes
+        FROM documents
+    ),
+    leaves AS (
+        SELECT doc_id, source, leaf, CASE WHEN {_CRC} % 2 = 0 THEN altered ELSE leaf END AS shown,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+        FROM hashed, crc
+    ),
+    nodes AS (
+        SELECT source, 0 AS level, i, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM nodes WHERE n > 1
+        GROUP BY source, level, i // 3, n
+    ),
+    subroots AS (SELECT source, level AS height, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM nodes WHERE n = 1),
+    top AS (
+        SELECT 0 AS level, i, count(*) OVER () AS n, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, n
+    ),
+    climbs AS (
+        SELECT l.source, l.i, l.shown AS own, 0 AS level, height, l.i AS spot, s.i AS place, '' AS proof
+        FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+        UNION ALL
+        SELECT c.source, c.i, sha256(lefts || own || rights), c.level + 1, height,
+               CASE WHEN c.level + 1 = height THEN place ELSE spot // 3 END, place, proof || lefts || rights
+        FROM climbs c, LATERAL (
+            SELECT coalesce(string_agg(digest, '' ORDER BY i) FILTER (i < spot), '') AS lefts,
+                   coalesce(string_agg(digest, '' ORDER BY i) FILTER (i > spot), '') AS rights, max(n) AS n
+            FROM (
+                SELECT i, n, digest FROM nodes x WHERE c.level < height AND x.source IS NOT DISTINCT FROM c.source AND x.level = c.level AND x.i // 3 = spot // 3
+                UNION ALL
+                SELECT i, n, digest FROM top x WHERE c.level >= height AND x.level = c.level - height AND x.i // 3 = spot // 3 AND x.n > 1
+            )
+        ) WHERE n IS NOT NULL
+    ),
+    ended AS (SELECT source, i, arg_max(own, level) AS own, arg_max(proof, level) AS proof FROM climbs GROUP BY source, i)
+    SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, own AS folded_root, own = r.digest AS verified
+    FROM leaves l JOIN ended e ON e.source IS NOT DISTINCT FROM l.source AND e.i = l.i
+    JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source, (SELECT digest FROM top WHERE n = 1) r
+    """
+)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_report(table(spark, sf_dir, "documents").select(*merkle.FIELDS))
+
+
+def merkle_report(documents: DataFrame) -> DataFrame:
+    """Every document's proof, and what it proves of the document whose text lost its line feeds where the CRC-32 is even."""
+    columns = {name: F.col(name) for name in merkle.FIELDS}
+    altered = columns | {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    leaf, other = merkle.leaf_digest(list(columns.values())), merkle.leaf_digest(list(altered.values()))
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, other).otherwise(leaf)
+    made = merkle.manifest(documents, leaf, carried=F.struct("doc_id", shown.alias("shown")))
+    root = F.lit(made.root).cast("string")
+    folded = merkle.folded(F.col("carried.shown"), F.col("proof")).alias("folded_root")
+    report = made.proofs.select(
+        "carried.doc_id", "leaf", "subroot", root.alias("root"), merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded
+    )
+    return report.withColumn("verified", F.col("folded_root") == F.col("root"))
