@@ -535,7 +535,7 @@ def _leaf_sql(text: str) -> str:
         SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, n
     ),
     climbs AS (
-        SELECT l.source, l.i, l.shown AS own, 0 AS level, height, l.i AS spot, s.i AS place, '' AS proof
+        SELECT l.source, l.i, l.shown AS own, 0 AS level, height, CASE height WHEN 0 THEN s.i ELSE l.i END AS spot, s.i AS place, '' AS proof
         FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
         UNION ALL
         SELECT c.source, c.i, sha256(lefts || own || rights), c.level + 1, height,

@@ -364,7 +364,7 @@ def _summary(faults: DataFrame, chunks: DataFrame, chosen: DataFrame) -> DataFra
     number = lambda c: c.cast("decimal(20,0)")  # noqa: E731  the span of turns may be wider than a long
     gaps = number(F.max("turn")) - number(F.min("turn")) + 1 - F.count_distinct("turn")
     counted = [F.count_if(F.col("fault") == fault).alias(fault) for fault in (BLANK, DUPLICATE, CUT)]
-    rows = faults.groupBy("conv_id").agg(F.count("*").alias("rows"), F.coalesce(gaps, F.lit(0)).try_cast("long").alias("gaps"), *counted)
+    rows = faults.groupBy("conv_id").agg(F.count("*").alias("rows"), F.least(F.coalesce(gaps, number(F.lit(0))), number(F.lit(2**63 - 1))).cast("long").alias("gaps"), *counted)
     before = F.lag("last").over(Window.partitionBy("conv_id").orderBy("chunk"))
     legal_border = F.coalesce(*[F.when((F.col("before") == a) & (F.col("first") == b), 0) for a in _STATES for b in _STATES if legal(a, b)], F.lit(1))
     border = F.when(F.col("before").isNull(), 0).otherwise(legal_border)

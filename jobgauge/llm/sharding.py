@@ -93,15 +93,18 @@ def _div(value: Column, by: int) -> Column:
 
 
 def shuffle_of(spark: SparkSession, rows: int, shards: int = SHARDS, seed: str = SEED, rounds: int = ROUNDS) -> Shuffle:
-    """The permutation for a number of rows; the cells beyond them, fewer than the square root of it, are followed home."""
+    """The permutation for a number of rows.
+
+    The cells beyond them, fewer than the square root of their number, are followed home from those that a row enters first;
+    cells that lead in a ring to each other are never entered.
+    """
     shuffle = Shuffle(rows, 0, shards, seed, rounds)
-    cells = shuffle.high * shuffle.low
+    cell = F.col("id")
+    beyond = spark.range(rows, shuffle.high * shuffle.low).filter(shuffle.permuted(cell, forward=False) < rows)
     walks = 0
-    beyond = spark.range(rows, cells).select("id") if rows else spark.range(0)
-    while beyond.count():
+    while rows and (entered := beyond.select("id").collect()):
         walks += 1
-        cell = beyond.select(shuffle.permuted(F.col("id")).alias("id"))
-        beyond = spark.createDataFrame(cell.filter(F.col("id") >= rows).collect(), "id bigint")
+        beyond = spark.createDataFrame(entered, "id bigint").select(shuffle.permuted(cell).alias("id")).filter(cell >= rows)
     return Shuffle(rows, walks, shards, seed, rounds)
 
 
