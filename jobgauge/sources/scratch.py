@@ -40,6 +40,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of tables that `written` returned and that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in {file.rpartition("/")[0] for file in table.inputFiles()[:1]}:
+            remove(spark, path)
+
+
 def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
