@@ -17,21 +17,22 @@ from pyspark.sql import functions as F
 
 from jobgauge.llm.components import connected_components
 from jobgauge.llm.words import NOT_SPACE, U64, mixed, run_hashes, signed, split_words, text_blocks, word_hashes
-from jobgauge.sources.scratch import remove, scratch_path, written
+from jobgauge.sources.scratch import discard, remove, scratch_path, written
 
 #: Words of a shingle, and the least similarity in percent.
 SHINGLE_WORDS = 4
 PERCENT = 85
-#: 64-bit words of a sketch.
-SKETCH_WORDS = 8
+#: Bits of a sketch for each shingle in which a set may differ from a linked one, about. Unrelated sets differ in half of
+#: the bits, twice as many as linked ones may.
+SKETCH_BITS = 4
 #: Ratio of the sizes at the ends of a band.
 BAND_RATIO = 1.35
 #: Keys of one group are compared with this many chosen members first; further pairs only where that leaves parts apart.
 LEADERS = 8
+#: Bands are told apart by their number modulo this; a set has keys in three adjacent ones at most.
+BAND_CODES = 4
 _BATCH_KEYS = 1 << 18
 
-SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
-
 
 def shingle_sets(column: pa.Array, shingle_words: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text; a shorter text is one shingle, one without words has none."""
@@ -49,9 +50,24 @@ def set_class(shingles: np.ndarray) -> tuple[int, int]:
     return int(mixed(united)[0]), int(np.sum(mixed(~shingles), dtype=U64))
 
 
-def _parity_sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & U64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def most_different(size: int, other: int, percent: int) -> int:
+    """Most shingles in which linked sets of these sizes differ.
+
+    Linked sets have (100 + p) * common >= p * (a + b), so a + b - 2 * common <= (100 - p) / (100 + p) * (a + b).
+    """
+    return (100 - percent) * (size + other) // (100 + percent)
+
+
+def parity_sketch(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """64-bit words whose bits are flipped once for each shingle; a power of two of them, by the band of sizes.
+
+    Half of the words, each with its bits flipped by those of the other half, are the sketch of half the length.
+    """
+    size = len(shingles)
+    bits = SKETCH_BITS * most_different(size, 100 * size // percent, percent)
+    words = 1 << max(0, (bits - 1) >> 6).bit_length()
+    flipped = np.bincount((shingles & U64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(flipped.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def size_bands(largest: int, ratio: float = BAND_RATIO) -> list[int]:
@@ -65,57 +81,83 @@ def size_bands(largest: int, ratio: float = BAND_RATIO) -> list[int]:
 def part_count(last_size: int, percent: int) -> tuple[int, int]:
     """Most shingles in which linked sets of at most `last_size` differ, and the number of parts to deal them to.
 
-    Linked sets have (100 + p) * common >= p * (a + b), so a + b - 2 * common <= (100 - p) / (100 + p) * (a + b).
     The further parts make up for empty ones.
     """
-    differ = (100 - percent) * 2 * last_size // (100 + percent)
+    differ = most_different(last_size, last_size, percent)
     return differ, differ + 1 + (differ * 6 + 99) // 100 + min(differ, 2)
 
 
-def band_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """The join keys of a set, in its own band and in those of larger sets that it can be linked with.
+def _band_parts(shingles: np.ndarray, percent: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """Per band in which a set can be linked: band, parts, the filled ones, their first shingles, and the spare ones.
 
-    Empty parts give no key as long as more than D parts have shingles, because then linked sets agree in one of these.
-    Two sets that both have fewer still find each other by the keys of their empty parts.
+    A set and a linked one of the band differ in at most D shingles, so all but D of its filled parts are the same in both.
+    Any D + 1 of their keys find the other set; the rest are spare.
     """
     size = len(shingles)
     edges = size_bands(100 * size // percent)
-    keys = []
     for band in range(int(np.searchsorted(edges, size, "right")) - 1, len(edges) - 1):
-        differ, parts = part_count(edges[band + 1] - 1, percent)
+        last = edges[band + 1] - 1
+        _, parts = part_count(last, percent)
+        differ = most_different(size, min(last, 100 * size // percent), percent)
         part = ((shingles >> U64(32)) * U64(parts)) >> U64(32)  # rises with the sorted hashes
         first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        used, value = part[first], np.bitwise_xor.reduceat(mixed(shingles), first)
-        if len(used) <= differ:
+        yield band, parts, part[first], first, len(first) - differ - 1
+
+
+def band_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """The join keys of a set, in its own band and in those of larger sets that it can be linked with.
+
+    Empty parts give no key as long as more parts have shingles than the set can differ in from a linked one of the band,
+    because then linked sets agree in one of these. Two sets that both have fewer still find each other by the keys of their
+    empty parts. The last bits of a key tell its band, see `key_band`.
+    """
+    keys = []
+    values = mixed(shingles)
+    for band, parts, used, first, spare in _band_parts(shingles, percent):
+        value = np.bitwise_xor.reduceat(values, first)
+        if spare < 0:
             empty = np.setdiff1d(np.arange(parts, dtype=U64), used)
             used, value = np.concatenate((used, empty)), np.concatenate((value, np.zeros(len(empty), U64)))
-        keys.append(mixed(value ^ mixed(used + (U64(band + 1) << U64(40)))))
+        named = mixed(value ^ mixed(used + (U64(band + 1) << U64(40))))
+        keys.append((named & ~U64(BAND_CODES - 1)) | U64(band % BAND_CODES))
     return np.concatenate(keys) if keys else np.empty(0, U64)
 
 
-def set_table(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, row (a hash of the text), n_shingles, two fingerprints (NULL for an empty set) and the sketch of every row."""
-    sketch = ", ".join(f"{name} bigint" for name in SKETCH)
+def spare_keys(shingles: np.ndarray, percent: int) -> list[int]:
+    """How many keys of the set are spare, by band code; see `_band_parts`."""
+    spares = [0] * BAND_CODES
+    for band, _, _, _, spare in _band_parts(shingles, percent):
+        spares[band % BAND_CODES] = max(0, spare)
+    return spares
+
+
+def key_band(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(BAND_CODES - 1)).cast("int")
+
+
+def set_table(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, row (a hash of the text), n_shingles, and of sets that are not empty two fingerprints, sketch and spare keys."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count, names, more = np.zeros(len(batch), np.int64), [], []
-            sketches = np.zeros((len(batch), SKETCH_WORDS), np.int64)
+            sketches: list[np.ndarray | None] = [None] * len(batch)
+            spares: list[list[int] | None] = [None] * len(batch)
             for row, shingles in shingle_sets(batch.column(2), shingle_words):
                 count[row] = len(shingles)
                 first, second = set_class(shingles) if len(shingles) else (None, None)
                 names.append(first)
                 more.append(second)
-                sketches[row] = _parity_sketch(shingles)
+                if len(shingles):
+                    sketches[row] = parity_sketch(shingles, percent)
+                    spares[row] = spare_keys(shingles, percent)
             columns = [*batch.columns[:2], pa.array(count), _signed_or_null(names), _signed_or_null(more)]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_WORDS)],
-                ["doc_id", "row", "n_shingles", "class", "class2", *SKETCH],
-            )
+            columns += [pa.array(sketches, pa.list_(pa.int64())), pa.array(spares, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "class", "class2", "sketch", "spares"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
-        describe, f"doc_id {kind}, row bigint, n_shingles bigint, class bigint, class2 bigint, {sketch}"
+        describe, f"doc_id {kind}, row bigint, n_shingles bigint, class bigint, class2 bigint, sketch array<bigint>, spares array<int>"
     )
 
 
@@ -153,9 +195,20 @@ def key_table(documents: DataFrame, shingle_words: int, percent: int) -> DataFra
 
 
 def close(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and sketches allow two sets, columns with the prefixes `a` and `b`, to be linked."""
+    """Whether sizes and sketches allow two sets, columns with the prefixes `a` and `b`, to be linked.
+
+    Sizes of linked sets are so near that one sketch has twice the words of the other at most; it is folded then.
+    """
     size_a, size_b = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
-    distance = sum((F.bit_count(F.col(a + s).bitwiseXOR(F.col(b + s))) for s in SKETCH), F.lit(0))
+    own, other = F.col(f"{a}sketch"), F.col(f"{b}sketch")
+    words = F.least(F.size(own), F.size(other))
+
+    def folded(sketch: Column) -> Column:
+        halves = F.zip_with(F.slice(sketch, 1, words), F.slice(sketch, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(sketch) > words, halves).otherwise(sketch)
+
+    flipped = F.zip_with(folded(own), folded(other), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    distance = F.aggregate(flipped, F.lit(0), lambda total, bits: total + bits)
     most = F.floor((size_a + size_b) * (100 - percent) / (100 + percent))
     return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (distance <= most)
 
@@ -175,20 +228,28 @@ def link_documents(
     Shingles and sets are compared by 64-bit and 128-bit hashes.
     """
     documents = documents.select("doc_id", "text")
-    rows = written(set_table(documents, shingle_words), "sets")
+    described = written(set_table(documents, shingle_words, percent), "sets")
+    rows = described.drop("sketch", "spares")
     filled = rows.filter("n_shingles > 0")
-    classes = written(
-        filled.groupBy("class", "class2", "n_shingles", *SKETCH).agg(F.min("doc_id").alias("first_doc")), "classes"
-    )
-    members = _members(key_table(documents, shingle_words, percent), classes, percent)
-    sets = _member_sets(documents, members, classes, shingle_words)
-    first = written(_verified(_leader_pairs(members, percent), sets, percent), "links")
+    groups = described.filter("n_shingles > 0").groupBy("class", "class2")
+    of_set = [F.any_value(name).alias(name) for name in ("n_shingles", "sketch", "spares")]  # alike in equal sets
+    classes = written(groups.agg(F.min("doc_id").alias("first_doc"), *of_set), "classes")
+    members = _without_spares(_members(key_table(documents, shingle_words, percent)), classes)
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        pairs = written(_close_pairs(pairs, classes, percent), "pairs")
+        sets = _pair_sets(documents, pairs, classes, shingle_words)
+        links = written(_verified(pairs, sets, percent), "links")
+        discard(pairs, sets)
+        return links
+
+    first = links_of(_leader_pairs(members))
     found = connected_components(first, "a", "b")
-    rest = written(_verified(_remaining_pairs(members, found, percent), sets, percent), "links")
-    links = first.unionByName(rest)
-    roots = connected_components(links, "a", "b")
+    rest = links_of(_remaining_pairs(members, found))
+    roots = connected_components(first.unionByName(rest), "a", "b")
     named = classes.join(roots, classes["class"] == roots["node"], "left").withColumn("root", F.coalesce("root", "class"))
     named = written(named.select("class", "class2", "root", "first_doc"), "named-classes")
+    discard(members, first, found, rest, roots, classes)
     components = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     known = named.join(components, "root").select("class", "class2", "root", "component_id")
     return (
@@ -226,8 +287,8 @@ def keep_first(documents: DataFrame, linked: DataFrame) -> DataFrame:
     return single.unionByName(repeated.select(*documents.columns))
 
 
-def _members(keys: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The rows of `keys`, with size and sketch, whose group has another set close enough to be linked."""
+def _members(keys: DataFrame) -> DataFrame:
+    """The rows of `keys`, key and class, whose group has another set."""
     # A semi-join instead of a window or a list: a group with very many sets is split. Read from a table, the keys are
     # made and shuffled once for both sides.
     spark, path = keys.sparkSession, scratch_path(keys.sparkSession, "keys")
@@ -235,13 +296,26 @@ def _members(keys: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     keys = spark.read.schema(keys.schema).parquet(path)
     left, right = _prefixed(keys, "a_"), _prefixed(keys, "b_")
     other = (F.col("a_key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class"))
-    shared = written(_unprefixed(left.join(right, other, "left_semi"), "a_").distinct(), "shared-keys")
+    shared = written(_unprefixed(left.join(right, other, "left_semi"), "a_").distinct(), "members")
     remove(spark, path)
-    described = classes.select("class", "n_shingles", *SKETCH)
-    wide = written(shared.join(described, "class"), "shared-sets")
-    left, right = _prefixed(wide, "a_"), _prefixed(wide, "b_")
-    near = (F.col("a_key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class")) & close("a_", "b_", percent)
-    return written(_unprefixed(left.join(right, near, "left_semi"), "a_"), "members")
+    return shared
+
+
+def _without_spares(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """`members` without the spare keys of each set, its most frequent ones.
+
+    Linked sets share all but D of their keys. In one order of all keys, here by frequency, the keys that remain of both
+    have one in common, so passages that many documents share, in a smaller part of their texts, bring nobody together.
+    """
+    counts = members.groupBy(F.col("key").alias("of")).agg(F.count("*").alias("n"))
+    counted = members.join(counts, F.col("key") == F.col("of")).drop("of")
+    spares = classes.select(F.col("class").alias("c"), "spares")
+    described = counted.join(spares, F.col("class") == F.col("c")).withColumn("band", key_band(F.col("key")))
+    order = Window.partitionBy("class", "band").orderBy(F.desc("n"), "key")
+    ranked = described.withColumn("place", F.row_number().over(order))
+    kept = written(ranked.filter(F.col("place") > F.get("spares", F.col("band"))).select("key", "class"), "kept-members")
+    discard(members)
+    return kept
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -252,9 +326,10 @@ def _unprefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c.removeprefix(prefix)) for c in df.columns])
 
 
-def _member_sets(documents: DataFrame, members: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
-    """class and shingles of the sets that take part, computed anew from one document of each."""
-    wanted = members.select("class").distinct().join(classes.select("class", "first_doc"), "class")
+def _pair_sets(documents: DataFrame, pairs: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
+    """class and shingles of the sets of `pairs`, computed anew from one document of each."""
+    either = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    wanted = either.distinct().join(classes.select("class", "first_doc"), "class")
     needed = wanted.select("first_doc").hint("shuffle_merge")
     texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["first_doc"]), "left_semi")
 
@@ -281,25 +356,32 @@ def _set_batch(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([signed(names), values], ["class", "shingles"])
 
 
-def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _leader_pairs(members: DataFrame) -> DataFrame:
     """Every member of a key's group with the member chosen for it, one of a few choices so that chains soon close."""
     choice = F.pmod(F.xxhash64("key"), F.lit(LEADERS))
-    order = F.struct(F.xxhash64("class", choice).alias("order"), F.struct("class", "n_shingles", *SKETCH).alias("leader"))
-    leaders = members.groupBy("key").agg(F.min(order).alias("first")).select("key", "first.leader.*")
-    pairs = _prefixed(members, "a_").join(_prefixed(leaders, "b_"), F.col("a_key") == F.col("b_key"))
-    return _distinct_pairs(pairs.filter((F.col("a_class") != F.col("b_class")) & close("a_", "b_", percent)))
+    order = F.struct(F.xxhash64("class", choice).alias("order"), F.col("class").alias("leader"))
+    leaders = members.groupBy("key").agg(F.min(order)["leader"].alias("b_class"))
+    pairs = members.withColumnRenamed("class", "a_class").join(leaders, "key")
+    return _distinct_pairs(pairs.filter(F.col("a_class") != F.col("b_class")))
 
 
-def _remaining_pairs(members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Close pairs within a key's group that the links found so far leave in different components."""
+def _remaining_pairs(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs within a key's group that the links found so far leave in different components."""
     placed = members.join(components.withColumnRenamed("node", "class"), "class", "left")
-    placed = written(placed.withColumn("root", F.coalesce("root", "class")), "placed-members")
+    placed = placed.withColumn("root", F.coalesce("root", "class"))
     split = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
     open_groups = written(placed.join(split.select("key"), "key", "left_semi"), "open-groups")
     left, right = _prefixed(open_groups, "a_"), _prefixed(open_groups, "b_")
     apart = (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
-    pairs = left.join(right, (F.col("a_key") == F.col("b_key")) & apart & close("a_", "b_", percent))
-    return _distinct_pairs(pairs)
+    return _distinct_pairs(left.join(right, (F.col("a_key") == F.col("b_key")) & apart))
+
+
+def _close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b of classes whose sizes and sketches allow a link."""
+    side = classes.select("class", "n_shingles", "sketch")
+    with_a = pairs.join(_prefixed(side, "a_"), F.col("a") == F.col("a_class"))
+    both = with_a.join(_prefixed(side, "b_"), F.col("b") == F.col("b_class"))
+    return both.filter(close("a_", "b_", percent)).select("a", "b")
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,9 +78,9 @@ def test_quality_of_unseen_documents(spark):
     assert scored.filter("score < 0 OR score > 1 OR score IS NULL").isEmpty()
 
 
-def _shingles(text):
+def _shingles(text, length=corpus_pipeline.SHINGLE_WORDS):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
-    return {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+    return {tuple(words[i : i + length]) for i in range(max(1, len(words) - length + 1))} if words else set()
 
 
 def test_pipeline_matches_a_plain_version(spark, duck, texts):
@@ -112,7 +113,7 @@ def test_pipeline_matches_a_plain_version(spark, duck, texts):
     for n, a in enumerate(ids):
         for b in ids[:n]:
             common = len(sets[a] & sets[b])
-            if common and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+            if common and 100 * common >= corpus_pipeline.PERCENT * (len(sets[a]) + len(sets[b]) - common):
                 low, high = sorted((find(a), find(b)))
                 root[high] = low
     single = {i: cut[i] for i in cut if find(i) == i}
@@ -171,17 +172,50 @@ def test_topk_without_pruning_limits(spark):
     assert {q: [r.vec_id for r in sorted(rows, key=lambda r: r.rank) if r.query_id == q] for q in expected} == expected
 
 
-def test_every_candidate_of_a_linked_pair_is_found_without_sketches():
-    """Sets that differ by as much as is allowed share a key, whatever their size."""
-    import numpy as np
-
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_every_candidate_of_a_linked_pair_is_found_without_sketches(percent):
+    """Sets that differ by as much as is allowed share a key and have near sketches, whatever their size."""
     rng = np.random.default_rng(5)
+    linked = 0
     for size in [1, 2, 5, 6, 7, 12, 13, 20, 57, 150, 300, 1000]:
         for _ in range(30):
-            differ = int(rng.integers(0, size // 6 + 1))
+            differ = int(rng.integers(0, size * (100 - percent) // 100 + 2))
             a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
             gone = int(rng.integers(0, differ + 1))
             b = np.unique(np.concatenate((a[gone:], rng.integers(0, 2**63, differ - gone).astype(np.uint64))))
             common = len(np.intersect1d(a, b))
-            if len(b) and 185 * common >= 85 * (len(a) + len(b)):
-                assert len(np.intersect1d(jaccard_join.band_keys(a, 85), jaccard_join.band_keys(b, 85)))
+            if len(b) and (100 + percent) * common >= percent * (len(a) + len(b)):
+                linked += 1
+                assert len(np.intersect1d(jaccard_join.band_keys(a, percent), jaccard_join.band_keys(b, percent)))
+                assert len(np.intersect1d(_frugal(a, percent), _frugal(b, percent)))
+                assert _distance(a, b, percent) <= len(a) + len(b) - 2 * common
+    assert linked > 150
+
+
+def _frugal(shingles, percent):
+    """The keys without the spare ones, in an order that has nothing to do with the sets."""
+    keys, spares = jaccard_join.band_keys(shingles, percent), jaccard_join.spare_keys(shingles, percent)
+    codes = keys % np.uint64(jaccard_join.BAND_CODES)
+    return np.concatenate([np.sort(keys[codes == code])[spare:] for code, spare in enumerate(spares)])
+
+
+def _distance(a, b, percent):
+    one, two = sorted((jaccard_join.parity_sketch(s, percent) for s in (a, b)), key=len)
+    if len(two) > len(one):
+        assert len(two) == 2 * len(one)
+        two = two[: len(one)] ^ two[len(one) :]
+    return int(np.bitwise_count((one ^ two).view(np.uint64)).sum())
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_unrelated_sets_share_no_keys_and_have_distant_sketches(percent):
+    rng = np.random.default_rng(6)
+    for size in [60, 150, 200, 400, 1000, 3000]:
+        seen = []
+        for _ in range(40):
+            own = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            keys = jaccard_join.band_keys(own, percent)
+            for other, their in seen:
+                assert not len(np.intersect1d(keys, their))
+                assert _distance(own, other, percent) > jaccard_join.most_different(size, size, percent)
+            seen.append((own, keys))
