@@ -213,7 +213,7 @@ def test_unrelated_sets_share_no_keys_and_have_distant_sketches(percent):
     for size in [60, 150, 200, 400, 1000, 3000]:
         seen = []
         for _ in range(40):
-            own = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            own = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
             keys = jaccard_join.band_keys(own, percent)
             for other, their in seen:
                 assert not len(np.intersect1d(keys, their))
