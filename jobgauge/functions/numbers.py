@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobgauge.schemas import EXACT
+from jobgauge.schemas import WIDE
 
 INFINITY = float("inf")
 
@@ -14,23 +14,24 @@ def finite_number(value: Column) -> Column:
     return F.when(F.abs(number) < INFINITY, number)
 
 
-def exact_number(value: Column) -> Column:
-    """The number as a wide decimal; NULL where `finite_number` is, and for numbers that do not fit."""
-    return finite_number(value).try_cast(EXACT)
+def misfits(value: Column) -> Column:
+    """How many values are not NULL and no finite number."""
+    return F.count_if(value.isNotNull() & finite_number(value).isNull())
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum through a wide decimal, so that the result does not depend on the row order; see `misfits`."""
-    return F.try_sum(exact_number(value))
+def decimal_number(value: Column) -> Column:
+    """The number as a wide decimal; NULL where `finite_number` is, and for numbers that do not fit."""
+    return finite_number(value).try_cast(WIDE)
 
 
-def exact_avg(value: Column) -> Column:
-    return exact_sum(value).cast("double") / F.nullif(F.count(exact_number(value)), F.lit(0))
+def decimal_avg(value: Column) -> Column:
+    """Average through a wide decimal, for streams that can aggregate only once; see `decimal_misfits`."""
+    return F.try_sum(decimal_number(value)).cast("double") / F.nullif(F.count(decimal_number(value)), F.lit(0))
 
 
-def misfits(value: Column) -> Column:
-    """How many values are not NULL and take no part in `exact_sum`."""
-    return F.count_if(value.isNotNull() & exact_number(value).isNull())
+def decimal_misfits(value: Column) -> Column:
+    """How many values are not NULL and take no part in `decimal_avg`."""
+    return F.count_if(value.isNotNull() & decimal_number(value).isNull())
 
 
 def filter_min_value(df: DataFrame, minimum: float, column: str = "value") -> DataFrame:

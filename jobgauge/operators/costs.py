@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
-from jobgauge.functions.numbers import exact_sum, finite_number, misfits
+from jobgauge.functions.exact import exact_aggregate
+from jobgauge.functions.numbers import finite_number, misfits
 from jobgauge.functions.runs import config_fields, run_cost
 
 
@@ -26,21 +27,14 @@ def full_run_cost(runs: DataFrame, thresholds: R.ConfiguredThresholds = R.CONFIG
 def full_job_cost(runs: DataFrame, thresholds: R.ConfiguredThresholds = R.CONFIGURED_DEFAULTS) -> DataFrame:
     """Worker and driver cost of all runs of a job, from exact sums of minutes and worker minutes.
 
-    Runtimes that are not numbers, or too large for the sums, cost nothing and are counted.
+    Runtimes that are not finite numbers cost nothing and are counted.
     """
     minutes = finite_number(F.col("runtime_minutes"))
     workers = config_fields(F.col("configuration"))["num_workers"]
-    sums = (
-        runs.filter(F.col("job_id").isNotNull())
-        .select("job_id", "runtime_minutes", minutes.alias("minutes"), (minutes * workers).alias("worker_minutes"))
-        .groupBy("job_id")
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            exact_sum(F.col("minutes")).cast("double").alias("minutes"),
-            exact_sum(F.col("worker_minutes")).cast("double").alias("worker_minutes"),
-            misfits(F.col("runtime_minutes")).alias("runtime_misfits"),
-        )
-    )
+    costed = runs.filter(F.col("job_id").isNotNull()).select("job_id", "runtime_minutes", minutes.alias("m"), (minutes * workers).alias("w"))
+    counts = {"runs": (F.count(F.lit(1)), F.sum), "runtime_misfits": (misfits(F.col("runtime_minutes")), F.sum)}
+    sums = exact_aggregate(costed, ["job_id"], {"minutes": F.col("m"), "worker_minutes": F.col("w")}, counts)
+    sums = sums.select("job_id", "runs", "minutes", "worker_minutes", "runtime_misfits")
     cost = (
         F.col("worker_minutes") * thresholds.worker_hourly_rate + F.col("minutes") * thresholds.driver_hourly_rate
     ) / 60

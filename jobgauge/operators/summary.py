@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
-from jobgauge.functions.numbers import exact_avg, finite_number, misfits
+from jobgauge.functions.exact import Merged, exact_partials, exact_totals
+from jobgauge.functions.numbers import decimal_avg, decimal_misfits, finite_number, misfits
 from jobgauge.functions.runs import config_fields, matching_patterns
 
 
@@ -26,26 +27,67 @@ def prepare_runs(runs: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS, ti
     )
 
 
-def runtime_columns() -> list[Column]:
+def window_runtime_columns() -> list[Column]:
+    """Runtimes of a stream's window, which can be aggregated only once: the average goes through a wide decimal."""
     minutes = F.col("runtime_minutes")
     return [
         F.count(F.lit(1)).alias("runs"),
-        exact_avg(minutes).alias("avg_runtime"),
+        decimal_avg(minutes).alias("avg_runtime"),
         F.max(minutes).alias("max_runtime"),
         F.min(minutes).alias("min_runtime"),
-        misfits(minutes).alias("runtime_misfits"),
+        decimal_misfits(minutes).alias("runtime_misfits"),
     ]
 
 
+def _runtime_aggregates() -> dict[str, Merged]:
+    minutes = F.col("runtime_minutes")
+    return {
+        "runs": (F.count(F.lit(1)), F.sum),
+        "max_runtime": (F.max(minutes), F.max),
+        "min_runtime": (F.min(minutes), F.min),
+        "runtime_misfits": (misfits(minutes), F.sum),
+    }
+
+
+def _boundary_aggregates(tiebreak: Sequence[str]) -> dict[str, Merged]:
+    first, latest = _boundaries(tiebreak)
+    return {"_first": (F.min(first), F.min), "_latest": (F.max(latest), F.max)}
+
+
+def runtimes_per_job(prepared: DataFrame) -> DataFrame:
+    """One row per job: run count, average, largest and smallest runtime, and runtimes that are no number."""
+    return _merged(exact_partials(prepared, ["job_id"], {"_total": F.col("runtime_minutes")}, _runtime_aggregates()), ())
+
+
+def _merged(partials: DataFrame, tiebreak: Sequence[str] | None) -> DataFrame:
+    others = _runtime_aggregates()
+    if "_first" in partials.columns:
+        others |= _boundary_aggregates(tiebreak)
+    merged = exact_totals(partials, ["job_id"], ["_total"], others)
+    average = F.col("_total") / F.nullif("_total_count", F.lit(0))
+    runtimes = [F.col("runs"), average.alias("avg_runtime"), *map(F.col, ("max_runtime", "min_runtime", "runtime_misfits"))]
+    names = []
+    if "_first" in partials.columns:
+        names = [F.col("_first.job_name"), F.col("_latest.configuration"), F.col("_latest.errors")]
+    return merged.select("job_id", *runtimes, *names)
+
+
+def _boundaries(tiebreak: Sequence[str]) -> tuple[Column, Column]:
+    order = ["start_time", *tiebreak]
+    return (
+        F.struct(F.col("start_time").isNull().alias("undated"), *order, "job_name"),
+        F.struct(*order, "configuration", "errors"),
+    )
+
+
 def boundary_columns(tiebreak: Sequence[str] = ()) -> list[Column]:
     """First name, latest configuration and latest errors by (start_time, tiebreak); a run without a start is neither,
     unless no run has one.
 
     The values end the ordering struct, so ties left by the order columns resolve the same way in every run.
     """
-    order = ["start_time", *tiebreak]
-    first = F.min(F.struct(F.col("start_time").isNull().alias("undated"), *order, "job_name"))
-    latest = F.max(F.struct(*order, "configuration", "errors"))
+    first, latest = _boundaries(tiebreak)
+    first, latest = F.min(first), F.max(latest)
     return [
         first["job_name"].alias("job_name"),
         latest["configuration"].alias("configuration"),
@@ -56,9 +98,22 @@ def boundary_columns(tiebreak: Sequence[str] = ()) -> list[Column]:
 def summarize_runs(
     runs: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per job: run count, runtimes, first name, latest configuration and errors. One shuffle."""
-    prepared = prepare_runs(runs, rules, tiebreak)
-    return prepared.groupBy("job_id").agg(*runtime_columns(), *boundary_columns(tiebreak))
+    """One row per job: run count, runtimes, first name, latest configuration and errors.
+
+    One shuffle of partial rows, one per task, job and bin of its runtimes, and another one of the few rows per job."""
+    return merge_summaries(partial_summaries(runs, rules, tiebreak), tiebreak)
+
+
+def partial_summaries(
+    runs: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """Summaries that `merge_summaries` puts together: one row per job and bin of its runtimes, also of a stream."""
+    aggregates = _runtime_aggregates() | _boundary_aggregates(tiebreak)
+    return exact_partials(prepare_runs(runs, rules, tiebreak), ["job_id"], {"_total": F.col("runtime_minutes")}, aggregates)
+
+
+def merge_summaries(partials: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    return _merged(partials, tiebreak)
 
 
 def with_min_history(summary: DataFrame, rules: R.AdvisorRules = R.ADVISOR_DEFAULTS) -> DataFrame:

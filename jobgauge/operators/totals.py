@@ -1,35 +1,31 @@
-"""Aggregates of the silver table. Money totals stay decimal."""
+"""Aggregates of the silver table. Totals are exact sums of doubles, rounded once."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobgauge.functions.numbers import exact_avg, exact_sum, misfits
+from jobgauge.functions.exact import bin_columns, exact_aggregate, folded_columns, present_bins
+from jobgauge.functions.numbers import misfits
 from jobgauge.sources.scratch import written
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
     """Total, average and row count per date and region, and how many values are not in the total."""
-    value = F.col("value")
-    return df.groupBy("data_date", "region").agg(
-        exact_sum(value).alias("total_value"),
-        exact_avg(value).alias("avg_value"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        misfits(value).alias("value_misfits"),
-    )
+    keys, value = ["data_date", "region"], F.col("value")
+    totals = exact_aggregate(df, keys, {"total_value": value}, _counts("transaction_count"))
+    average = F.col("total_value") / F.nullif("total_value_count", F.lit(0))
+    return totals.select(*keys, "total_value", average.alias("avg_value"), "transaction_count", "value_misfits")
+
+
+def _counts(rows: str) -> dict:
+    """Rows, and values that are no number, as mergeable aggregates."""
+    return {rows: (F.count(F.lit(1)), F.sum), "value_misfits": (misfits(F.col("value")), F.sum)}
 
 
 def category_metrics(df: DataFrame) -> DataFrame:
     """Row count, total and values not in it, per category, in one pass; rows without a category are left out."""
-    value = F.col("value")
-    return (
-        df.filter(F.col("category").isNotNull())
-        .groupBy("category")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            exact_sum(value).alias("category_total"),
-            misfits(value).alias("value_misfits"),
-        )
-    )
+    named = df.filter(F.col("category").isNotNull())
+    metrics = exact_aggregate(named, ["category"], {"category_total": F.col("value")}, _counts("count"))
+    return metrics.select("category", "count", "category_total", "value_misfits")
 
 
 def with_running_total(daily: DataFrame) -> DataFrame:
@@ -40,32 +36,35 @@ def with_running_total(daily: DataFrame) -> DataFrame:
     """
     daily = written(daily, "daily")
     month = F.trunc(F.col("data_date").cast("date"), "month")
-    per_date = daily.groupBy("data_date").agg(F.try_sum("total_value").alias("_total")).withColumn("_month", month)
+    bins = present_bins(daily, "total_value")
+    parts = bin_columns("total_value", bins)
+    per_date = daily.groupBy("data_date").agg(*[F.sum(part).alias(name) for name, part in parts.items()])
+    per_date = per_date.withColumn("_month", month)
     in_month = Window.partitionBy("_month").orderBy("data_date")
-    earlier = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        per_date.groupBy("_month")
-        .agg(F.try_sum("_total").alias("_month_total"))
-        .select(F.col("_month").alias("_key"), F.try_sum("_month_total").over(earlier).alias("_offset"))
-    )
+    per_month = per_date.groupBy(F.col("_month").alias("_key")).agg(*[F.sum(name).alias(name) for name in parts])
+    before = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_month.select("_key", *[F.sum(name).over(before).alias(f"_before{name}") for name in parts])
+
+    def prefix(name: str) -> Column:
+        return F.coalesce(F.col(f"_upto{name}"), F.lit(0)) + F.coalesce(F.col(f"_before{name}"), F.lit(0))
+
     running = (
-        per_date.withColumn("_prefix", F.try_sum("_total").over(in_month))
+        per_date.select("data_date", "_month", *[F.sum(name).over(in_month).alias(f"_upto{name}") for name in parts])
         .join(offsets, F.col("_month").eqNullSafe(F.col("_key")))
-        .select(
-            F.col("data_date").alias("_date"),
-            F.when(F.col("_prefix").isNull(), F.col("_offset"))
-            .otherwise(F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_prefix"))
-            .alias("running_total"),
-        )
+        .select(F.col("data_date").alias("_date"), folded_columns(bins, prefix).alias("running_total"))
     )
     return daily.join(running, F.col("data_date").eqNullSafe(F.col("_date"))).drop("_date")
 
 
 def with_regional_running_total(daily: DataFrame) -> DataFrame:
-    """As with_running_total, per region: each window holds one row per date."""
+    """As with_running_total, per region: each window holds one row per date. The daily totals are kept in the scratch space."""
+    daily = written(daily, "daily")
     by_region = Window.partitionBy("region").orderBy("data_date")
     frame = by_region.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return daily.withColumn("running_total", F.try_sum("total_value").over(frame))
+    bins = present_bins(daily, "total_value")
+    parts = bin_columns("total_value", bins)
+    sums = daily.withColumns(parts).withColumns({f"_upto{name}": F.sum(name).over(frame) for name in parts})
+    return sums.withColumn("running_total", folded_columns(bins, lambda name: F.col(f"_upto{name}"))).select(*daily.columns, "running_total")
 
 
 def top_days(daily: DataFrame, rows: int) -> DataFrame:

@@ -41,6 +41,6 @@ HISTORY = T.StructType(
     ]
 )
 
-# Sums go through this exact type, so a result never depends on how the rows were split over tasks. It holds 20 digits
-# before the point and 18 after it; larger numbers are left out of sums and averages, and counted.
-EXACT = "decimal(38,18)"
+# Averages of a stream's windows go through this type, so a result never depends on how the rows were split over tasks. It
+# holds 20 digits before the point and 18 after it; larger numbers are left out and counted. Other sums have no such range.
+WIDE = "decimal(38,18)"

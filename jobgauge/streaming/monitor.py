@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from jobgauge import rules as R
 from jobgauge import schemas
 from jobgauge.operators.history import append_history
-from jobgauge.operators.summary import analyze_summary, prepare_runs, runtime_columns, summarize_runs
+from jobgauge.operators.summary import analyze_summary, merge_summaries, partial_summaries, prepare_runs, window_runtime_columns
 
 
 def read_run_stream(
@@ -39,17 +39,17 @@ def monitor_history(
 ) -> StreamingQuery:
     """Process all available files; each trigger appends one snapshot of every job to the history.
 
-    The state holds one summary row per job. Snapshots are stored by batch id, so a replayed batch replaces its own.
+    The state holds one summary row per job and bin of its runtimes, a few rows per job. Snapshots are stored by batch id, so a replayed batch replaces its own.
     The first start fixes the number of state partitions; the session's shuffle partitions if not given.
     """
 
-    def save(summary: DataFrame, batch_id: int) -> None:
-        analysis = analyze_summary(summary, rules)
+    def save(partials: DataFrame, batch_id: int) -> None:
+        analysis = analyze_summary(merge_summaries(partials, tiebreak), rules)
         append_history(analysis, history_path, batch_id)
         if on_analysis is not None:
             on_analysis(analysis, batch_id)
 
-    writer = summarize_runs(runs, rules, tiebreak).writeStream.outputMode("complete").foreachBatch(save)
+    writer = partial_summaries(runs, rules, tiebreak).writeStream.outputMode("complete").foreachBatch(save)
     return _start(runs.sparkSession, writer, checkpoint_path, state_partitions)
 
 
@@ -63,7 +63,7 @@ def daily_runtimes(runs: DataFrame, lateness: str = "1 day") -> DataFrame:
     return (
         stamped.withWatermark("start_time", lateness)
         .groupBy("job_id", F.window("start_time", "1 day").alias("day"))
-        .agg(*runtime_columns())
+        .agg(*window_runtime_columns())
         .select("job_id", F.col("day.start").alias("day_start"), F.col("day.end").alias("day_end"),
                 "runs", "avg_runtime", "max_runtime", "min_runtime")
     )

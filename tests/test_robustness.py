@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -21,20 +22,21 @@ def runs_of(spark, data):
     return spark.createDataFrame(data, schemas.RUNS)
 
 
-def test_small_values_add_up_and_large_ones_are_counted(spark):
+def test_values_far_apart_add_up(spark):
     small = spark.range(10_000).select(F.lit(DAY).alias("data_date"), F.lit("x").alias("region"), F.lit(0.00004).alias("value"))
     row = totals.daily_totals(small).first()
-    assert float(row.total_value) == 0.4 and row.avg_value == 0.00004 and row.value_misfits == 0
-    values = [1e14, 0.25, 1e30, float("nan"), None]
+    total = float(10_000 * Fraction(0.00004))
+    assert row.total_value == total and row.avg_value == total / 10_000 and row.value_misfits == 0
+    values = [1e14, 0.25, 1e30, -1e30, float("nan"), None]
     large = spark.createDataFrame([(DAY, "x", v) for v in values], "data_date timestamp, region string, value double")
     row = totals.with_running_total(totals.daily_totals(large)).first()
-    assert float(row.running_total) == 100000000000000.25 and (row.transaction_count, row.value_misfits) == (5, 2)
+    assert row.running_total == 100000000000000.25 and (row.transaction_count, row.value_misfits) == (6, 1)
     jobs = runs_of(spark, [(job, "x", "", m, DAY, DAY, "") for job, m in ((1, 1e12), (1, 1.0), (2, 1e30), (2, 2.0))])
     stats = {r.job_id: r for r in summary.summarize_runs(jobs).collect()}
     assert stats[1].avg_runtime == (1e12 + 1) / 2 and stats[1].runtime_misfits == 0
-    assert stats[2].avg_runtime == 2.0 and stats[2].runtime_misfits == 1
+    assert stats[2].avg_runtime == 5e29 and stats[2].runtime_misfits == 0
     cost = {r.job_id: r for r in costs.full_job_cost(jobs).collect()}
-    assert cost[1].minutes == 1e12 + 1 and (cost[2].minutes, cost[2].runtime_misfits) == (2.0, 1)
+    assert cost[1].minutes == 1e12 + 1 and (cost[2].minutes, cost[2].runtime_misfits) == (1e30, 0)
 
 
 def test_a_run_without_data_leaves_good_output_alone(spark, path):

@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import math
 import re
 
 import pytest
@@ -26,10 +27,14 @@ def sales(spark):
 
 def test_running_total_equals_the_direct_window(spark, sales):
     daily = totals.daily_totals(sales)
-    direct = daily.withColumn("running_total", F.sum("total_value").over(Window.orderBy("data_date")))
+    exact = F.col("total_value").cast("decimal(38,18)")
+    direct = daily.withColumn("running_total", F.sum(exact).over(Window.orderBy("data_date")).cast("double"))
     two_level = totals.with_running_total(daily)
     assert two_level.columns == direct.columns
-    assert rows(two_level) == rows(direct)
+    # A decimal holds what a double prints, not what it is.
+    assert rows(two_level.drop("running_total")) == rows(direct.drop("running_total"))
+    pairs = two_level.join(direct.select("data_date", "region", F.col("running_total").alias("other")), ["data_date", "region"])
+    assert pairs.filter("abs(running_total - other) > 1e-12 * abs(other)").isEmpty()
 
 
 def test_running_total_of_days_without_values(spark):
@@ -56,7 +61,8 @@ def test_regional_running_total(spark, sales):
 
 def test_category_metrics_equal_the_join_of_two_aggregates(spark, sales):
     counts = sales.groupBy("category").count()
-    sums = sales.groupBy("category").agg(F.sum(F.col("value").cast("decimal(38,18)")).alias("category_total"))
+    values = sales.groupBy("category").agg(F.collect_list("value").alias("values"))
+    sums = spark.createDataFrame([(r.category, math.fsum(r["values"])) for r in values.collect()], "category string, category_total double")
     metrics = totals.category_metrics(sales)
     assert rows(metrics.drop("value_misfits")) == rows(counts.join(sums, "category"))
     assert metrics.filter("value_misfits > 0").isEmpty()
@@ -69,13 +75,13 @@ def test_daily_totals_do_not_depend_on_the_row_order(spark):
     data = [(DAY[0], "EAST", v) for v in values]
     frames = [spark.createDataFrame(d, "data_date timestamp, region string, value double") for d in (data, data[::-1])]
     results = [rows(totals.daily_totals(df.repartition(n))) for df, n in zip(frames, (1, 7))]
-    assert results[0] == results[1] and results[0][0][2] == decimal.Decimal("7.5")
+    assert results[0] == results[1] and results[0][0][2] == math.fsum(values)
 
 
 def test_totals_leave_out_what_is_no_number(spark):
     values = [1.0, 3.0, None, float("nan"), float("inf")]
     df = spark.createDataFrame([(DAY[0], "EAST", v) for v in values], "data_date timestamp, region string, value double")
-    assert rows(totals.daily_totals(df)) == [(DAY[0], "EAST", decimal.Decimal(4), 2.0, 5, 2)]
+    assert rows(totals.daily_totals(df)) == [(DAY[0], "EAST", 4.0, 2.0, 5, 2)]
     assert [r.tax_amount for r in business.add_tax(df).collect()] == [0.09, 0.27, None, None, None]
 
 

@@ -13,7 +13,7 @@ from jobgauge.plans.advisor import run_advisor
 from jobgauge.sources.scratch import scratch_path
 from jobgauge.streaming import monitor
 from workload.registry import query
-from workload.views import RUN_RULES, as_runs, runs, table, with_runs
+from workload.views import RUN_RULES, as_runs, exact_sum_sql, runs, table, with_runs
 
 TIEBREAK = ("run_id",)
 CLUSTER = "driver_size, worker_size, num_workers"
@@ -34,7 +34,7 @@ def _suggestions(spark, sf_dir):
 @query(with_runs("SELECT job_id, runs, avg_runtime, max_runtime, min_runtime FROM stats"))
 def job_runtime_stats(spark, sf_dir):
     prepared = summary.prepare_runs(runs(spark, sf_dir), RUN_RULES)
-    return prepared.groupBy("job_id").agg(*summary.runtime_columns()).drop("runtime_misfits")
+    return summary.runtimes_per_job(prepared).drop("runtime_misfits")
 
 
 @query(with_runs("SELECT job_id, runs FROM stats WHERE runs >= 67"))
@@ -94,7 +94,7 @@ FROM rated
 """))
 def severity_rules(spark, sf_dir):
     prepared = summary.prepare_runs(runs(spark, sf_dir), RUN_RULES)
-    stats = prepared.groupBy("job_id").agg(*summary.runtime_columns())
+    stats = summary.runtimes_per_job(prepared)
     rated = summary.classify(summary.with_min_history(stats, RUN_RULES), RUN_RULES)
     return rated.select("job_id", "reason", "severity")
 
@@ -174,11 +174,11 @@ def job_cost(spark, sf_dir):
     return reports.chart_cost(_analysis(spark, sf_dir), RUN_RULES)
 
 
-@query(with_runs("""
+@query(with_runs(f"""
 SELECT job_id, runs, minutes, worker_minutes, runtime_misfits, (worker_minutes * 0.5::double + minutes * 0.7::double) / 60 AS total_cost
 FROM (
-    SELECT job_id, count(*) AS runs, sum(runtime_minutes::varchar::decimal(38,18))::varchar::double AS minutes, 0::bigint AS runtime_misfits,
-           sum((runtime_minutes * k)::varchar::decimal(38,18))::varchar::double AS worker_minutes
+    SELECT job_id, count(*) AS runs, {exact_sum_sql('runtime_minutes')} AS minutes, 0::bigint AS runtime_misfits,
+           {exact_sum_sql('runtime_minutes * k')} AS worker_minutes
     FROM runs GROUP BY job_id
 )
 """))
@@ -366,14 +366,14 @@ def advisor_run(spark, sf_dir):
     return written.union(failed.select(F.lit("status without runs"), "status", "suggestions"))
 
 
-@query("""
+@query(f"""
 WITH span AS (SELECT date_trunc('day', min(ts))::date AS first, date_trunc('day', max(ts))::date AS last FROM events),
 cuts AS (
     SELECT unnest([first + (last - first)::int // 3 + 1, first + (last - first)::int * 2 // 3 + 1, last + 1])::date AS cut
     FROM span
 ),
 snapshots AS (
-    SELECT cut, user_id AS job_id, sum(value::varchar::decimal(38,18))::varchar::double / count(value) AS avg_runtime, max(value) AS peak
+    SELECT cut, user_id AS job_id, {exact_sum_sql('value')} / count(value) AS avg_runtime, max(value) AS peak
     FROM cuts JOIN events ON ts < cut GROUP BY cut, user_id HAVING count(*) >= 2
 )
 SELECT job_id, count(*) AS snapshots, min(cut)::timestamp AS first_ts, max(cut)::timestamp AS last_ts,

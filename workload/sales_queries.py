@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from jobgauge import schemas
-from jobgauge.functions.numbers import exact_sum
+from jobgauge.functions.exact import exact_aggregate
 from jobgauge.functions.sales import parse_date
 from jobgauge.operators import business, ingest, joins, totals
 from jobgauge.plans.ingestion import run_ingestion
@@ -12,7 +12,7 @@ from jobgauge.sources.scratch import scratch_path
 from jobgauge.sources.tables import read_source
 from jobgauge.sources.writers import write_table
 from workload.registry import query
-from workload.views import SALES_RULES, regions, sales, table, with_sales
+from workload.views import SALES_RULES, exact_sum_sql, regions, sales, table, with_sales
 
 
 def _enriched(spark, sf_dir):
@@ -222,70 +222,82 @@ def business_rules(spark, sf_dir):
 
 
 @query(with_sales("""
-SELECT data_date, region, total::varchar::double AS total_value, avg_value, transaction_count, value_misfits FROM daily
+SELECT data_date, region, total AS total_value, avg_value, transaction_count, value_misfits FROM daily
 """))
 def daily_agg(spark, sf_dir):
-    return _as_double(totals.daily_totals(_enriched(spark, sf_dir)), "total_value")
+    return totals.daily_totals(_enriched(spark, sf_dir))
 
 
-@query(with_sales("""
-SELECT category, count(*) AS count, 0::bigint AS value_misfits, sum(value::varchar::decimal(38,18))::varchar::double AS category_total
+@query(with_sales(f"""
+SELECT category, count(*) AS count, 0::bigint AS value_misfits, {exact_sum_sql('value')} AS category_total
 FROM enriched WHERE category IS NOT NULL GROUP BY category
 """))
 def category_metrics(spark, sf_dir):
-    return _as_double(totals.category_metrics(sales(spark, sf_dir)), "category_total")
+    return totals.category_metrics(sales(spark, sf_dir))
 
 
 @query(with_sales("""
-SELECT data_date, region, total::varchar::double AS total_value, transaction_count
+SELECT data_date, region, total AS total_value, transaction_count
 FROM daily ORDER BY total DESC, data_date, region LIMIT 20
 """))
 def top_days(spark, sf_dir):
     top = totals.top_days(totals.daily_totals(_enriched(spark, sf_dir)), 20)
-    return _as_double(top, "total_value").drop("avg_value", "value_misfits")
+    return top.drop("avg_value", "value_misfits")
 
 
-@query("""
-SELECT o_orderpriority AS category, count(*) AS count, count(*) FILTER (o_orderkey % 97 = 0) AS value_misfits,
-       sum((o_totalprice / 1e9)::varchar::decimal(38,18)) FILTER (o_orderkey % 97 <> 0)::varchar::double AS category_total
-FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority
-""")
+@query(f"""
+WITH priced AS (SELECT o_orderkey % 97 AS k, o_orderpriority, o_totalprice FROM orders)
+SELECT 'huge' AS category, count(*) AS count, 0::bigint AS value_misfits, count(*) * 5e17::double AS category_total
+FROM priced WHERE k = 0 HAVING count(*) > 0
+UNION ALL SELECT 'tiny', count(*), 0, count(*) * 1e-19::double FROM priced WHERE k = 1 HAVING count(*) > 0
+UNION ALL SELECT 'cancelled', 3 * count(*), 0, {exact_sum_sql('o_totalprice')} FROM priced WHERE k = 2 HAVING count(*) > 0
+UNION ALL
+SELECT o_orderpriority, count(*), count(*) FILTER (k = 3), {exact_sum_sql('o_totalprice / 1e9')} FILTER (k <> 3)
+FROM priced WHERE k > 2 AND o_orderpriority IS NOT NULL GROUP BY o_orderpriority
+""".replace(f"::varchar::double / {2.0**80!r}::double) FILTER (k <> 3)", f" FILTER (k <> 3)::varchar::double / {2.0**80!r}::double)"))
 def exact_totals(spark, sf_dir):
-    """Totals of values with many decimals; some values are too large for them and only counted."""
-    value = F.when(F.col("o_orderkey") % 97 == 0, 1e30).otherwise(F.col("o_totalprice") / 1e9)
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("category"), value.alias("value"))
-    return _as_double(totals.category_metrics(orders), "category_total")
+    """Totals of values far apart in size, of some that cancel out, and of some that are no number and only counted."""
+    key, price = F.col("o_orderkey") % 97, F.col("o_totalprice")
+    values = (
+        F.when(key == 0, F.array(F.lit(5e17)))
+        .when(key == 1, F.array(F.lit(1e-19)))
+        .when(key == 2, F.array(F.lit(1e300), price, F.lit(-1e300)))
+        .when(key == 3, F.array(F.lit(float("nan"))))
+        .otherwise(F.array(price / 1e9))
+    )
+    category = F.when(key == 0, "huge").when(key == 1, "tiny").when(key == 2, "cancelled").otherwise(F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select(category.alias("category"), F.explode(values).alias("value"))
+    return totals.category_metrics(orders)
 
 
 RUNNING_SQL = """
-SELECT data_date, region, total::varchar::double AS total_value, avg_value, transaction_count, value_misfits,
-       (sum(total) OVER ({window}))::varchar::double AS running_total
+SELECT data_date, region, total AS total_value, avg_value, transaction_count, value_misfits, {running} AS running_total
 FROM daily
 """
 
 
-@query(with_sales(RUNNING_SQL.format(window="ORDER BY data_date")))
+@query(with_sales(RUNNING_SQL.format(running=exact_sum_sql("total", " OVER (ORDER BY data_date)"))))
 def running_total(spark, sf_dir):
     running = totals.with_running_total(totals.daily_totals(_enriched(spark, sf_dir)))
-    return _as_double(running, "total_value", "running_total")
+    return running
 
 
-@query(with_sales(RUNNING_SQL.format(window="PARTITION BY region ORDER BY data_date")))
+@query(with_sales(RUNNING_SQL.format(running=exact_sum_sql("total", " OVER (PARTITION BY region ORDER BY data_date)"))))
 def running_total_by_region(spark, sf_dir):
     running = totals.with_regional_running_total(totals.daily_totals(_enriched(spark, sf_dir)))
-    return _as_double(running, "total_value", "running_total")
+    return running
 
 
 @query(with_sales(f""", {TAX_SQL}
-SELECT 'main' AS output, region AS label, count(*) AS row_count, sum(value::varchar::decimal(38,18))::varchar::double AS total
+SELECT 'main' AS output, region AS label, count(*) AS row_count, {exact_sum_sql('value')} AS total
 FROM silver GROUP BY region
 UNION ALL
-SELECT 'daily_agg', region, count(*), sum(total)::varchar::double FROM daily GROUP BY region
+SELECT 'daily_agg', region, count(*), {exact_sum_sql('total')} FROM daily GROUP BY region
 UNION ALL
-SELECT 'category_metrics', category, count(*), sum(value::varchar::decimal(38,18))::varchar::double
+SELECT 'category_metrics', category, count(*), {exact_sum_sql('value')}
 FROM silver WHERE category IS NOT NULL GROUP BY category
 UNION ALL
-SELECT 'export', year || ' ' || month, count(*), sum(value::varchar::decimal(38,18))::varchar::double FROM silver GROUP BY ALL
+SELECT 'export', year || ' ' || month, count(*), {exact_sum_sql('value')} FROM silver GROUP BY ALL
 """))
 def silver_build(spark, sf_dir):
     """The whole silver job, checked by row counts and totals of its four outputs."""
@@ -298,8 +310,9 @@ def silver_build(spark, sf_dir):
     paths = run_silver(spark, bronze_path, region_path, targets, SALES_RULES)
 
     def totals_of(name, label, value="value"):
-        rows = read_source(spark, paths[name], "parquet").groupBy(label.alias("label"))
-        return rows.agg(F.count(F.lit(1)).alias("row_count"), exact_sum(F.col(value)).alias("total"))
+        rows = read_source(spark, paths[name], "parquet").withColumn("label", label)
+        counts = {"row_count": (F.count(F.lit(1)), F.sum)}
+        return exact_aggregate(rows, ["label"], {"total": F.col(value)}, counts).drop("total_count")
 
     categories = read_source(spark, paths["category_metrics"], "parquet").select(
         F.col("category").alias("label"), F.col("count").alias("row_count"), F.col("category_total").alias("total")

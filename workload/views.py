@@ -39,7 +39,13 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region"))
 
 
-SALES_SQL = """
+def exact_sum_sql(value: str, over: str = "") -> str:
+    """The exact sum of doubles below 2^46 or so, rounded once: added as multiples of 2^-80, which all their bits are."""
+    unit = f"{2.0**80!r}::double"
+    return f"(sum((({value}) * {unit})::hugeint){over}::varchar::double / {unit})"
+
+
+SALES_SQL = f"""
 sales AS (
     SELECT o_orderkey AS id, o_orderdate AS data_date, n_regionkey AS region_id,
            o_orderpriority AS category, o_totalprice AS value
@@ -51,8 +57,7 @@ enriched AS (
     SELECT sales.*, r_name AS region FROM sales LEFT JOIN region ON region_id = r_regionkey
 ),
 daily AS (
-    SELECT data_date, region, sum(value::varchar::decimal(38,18)) AS total,
-           sum(value::varchar::decimal(38,18))::varchar::double / count(value) AS avg_value,
+    SELECT data_date, region, {exact_sum_sql('value')} AS total, {exact_sum_sql('value')} / count(value) AS avg_value,
            count(*) AS transaction_count, 0::bigint AS value_misfits
     FROM enriched GROUP BY data_date, region
 )
@@ -139,7 +144,7 @@ runs AS (
 ),
 stats AS (
     SELECT job_id, count(*) AS runs,
-           sum(runtime_minutes::varchar::decimal(38,18))::varchar::double / count(runtime_minutes) AS avg_runtime,
+           EXACT_SUM / count(runtime_minutes) AS avg_runtime,
            max(runtime_minutes) AS max_runtime, min(runtime_minutes) AS min_runtime
     FROM runs WHERE job_id IS NOT NULL GROUP BY job_id
 ),
@@ -189,7 +194,7 @@ suggestions AS (
            CASE severity WHEN 'HIGH' THEN 0 WHEN 'MEDIUM' THEN 1 ELSE 2 END AS severity_rank
     FROM analysis
 )
-"""
+""".replace("EXACT_SUM", exact_sum_sql("runtime_minutes"))
 
 
 def with_sales(sql: str) -> str:
