@@ -3,31 +3,113 @@
 The commas inside the JSON shift every field for an ordinary CSV reader, so lines are matched as text: the two fields
 before the configuration and the number and timestamps after it anchor the split. A name is quoted or has no comma; a
 configuration is empty, quoted, or starts with a brace. All other lines are rejected.
+
+A quoted field may hold line breaks. `read_run_records` finds the borders of such records in parallel: lines that are whole
+records need no others, and of the rest the parity of the quotes before a line tells whether it goes on with a field. The
+parity is counted inside each file split, and carried over the borders of splits by a table with one row per split.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobgauge import schemas
+from jobgauge.sources.scratch import written
 
 HEADER = ",".join(schemas.RUNS.fieldNames())
 _STAMP = r"(?:\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})?"
 _QUOTED = r'"(?:[^"]|"")*+"'
 _NAME = rf'{_QUOTED}|[^,"]*+'
 _CONFIGURATION = rf'\{{.*?|{_QUOTED}|'
-_LINE = rf'^([^,]*+),({_NAME}),({_CONFIGURATION}),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
+_LINE = rf'(?s)^([^,]*+),({_NAME}),({_CONFIGURATION}),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
 _MARK = "\u0001"
 _FIELDS = {name: number for number, name in enumerate(schemas.RUNS.fieldNames())}
 
 
 def read_run_lines(spark: SparkSession, path: str) -> DataFrame:
     """The data lines below `path`, one column `line`; headers and blank lines are left out."""
-    line = F.col("line")
-    return spark.read.text(path).select(F.col("value").alias("line")).filter((line != HEADER) & (F.trim(line) != ""))
+    return _without_headers(spark.read.text(path).select(F.col("value").alias("line")))
+
+
+@dataclass(frozen=True)
+class RunRecords:
+    """runs: rows of the RUNS schema. rejected: the lines, `line`, that belong to none of them."""
+
+    runs: DataFrame
+    rejected: DataFrame
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return parse_run_lines(read_run_lines(spark, path))
+    return read_run_records(spark, path).runs
+
+
+def read_run_records(spark: SparkSession, path: str) -> RunRecords:
+    """All runs below `path`, those whose quoted fields hold line breaks included, and the lines that are left.
+
+    A line that is a whole record and closes its quotes always is one, so a quote that nobody closes does harm up to the next such line at most.
+    Lines between two of them are records from a line before which all quotes are closed to the next. What does not parse is
+    rejected line by line; headers and blank lines outside of records are left out. Every line is parsed once and written;
+    only lines that are no record by themselves are shuffled, by file split, and again by record.
+    """
+    source = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"),
+        F.when(_quotes("value") % 2 == 0, _record("value")).alias("record"),
+    )
+    parsed = written(source, "run-lines")
+    runs = parsed.filter("record IS NOT NULL").select("record.*")
+    joined = _spanning(parsed).select(F.array_join("lines.line", "\n").alias("text"), "lines").select("lines", _record("text").alias("record"))
+    joined = written(joined, "joined-run-lines")
+    loose = joined.filter("record IS NULL").select(F.explode("lines.line").alias("line"))
+    return RunRecords(runs.unionByName(joined.filter("record IS NOT NULL").select("record.*")), _without_headers(loose))
+
+
+def _spanning(parsed: DataFrame) -> DataFrame:
+    """Lines that are no record by themselves, as one array `lines` for each record that they may make up."""
+    split = ["file", "block"]
+    loose = parsed.filter("record IS NULL").select(*split, "at", "line")
+    in_split = Window.partitionBy(*split).orderBy("at")
+    # Lines that follow each other directly have one number less their rank: an island.
+    island = Window.partitionBy(*split, "island").orderBy("at")
+    upto = island.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    loose = loose.withColumn("island", F.col("at") - F.row_number().over(in_split)).withColumn("quotes", _quotes("line"))
+    loose = loose.withColumn("inside", (F.sum("quotes").over(upto) - F.col("quotes")) % 2)
+    ends = parsed.groupBy(*split).agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    islands = loose.groupBy(*split, "island").agg(
+        F.min("at").alias("from"), F.max("at").alias("to"), (F.sum("quotes") % 2).alias("odd")
+    )
+    last_island = islands.join(ends, split).filter(F.col("to") == F.col("last")).select(
+        *split, "odd", "island", (F.col("from") == F.col("first")).alias("through")
+    )
+    splits = ends.join(last_island, split, "left").withColumns({"odd": F.coalesce("odd", F.lit(0)), "through": F.coalesce("through", F.lit(False))})
+    by_file = Window.partitionBy("file").orderBy("block")
+    # The parity at the end of a split goes back to the last split with a whole record in it.
+    chain = F.sum(F.when(F.col("through"), 0).otherwise(1)).over(by_file)
+    in_chain = Window.partitionBy("file", "chain").orderBy("block")
+    splits = splits.withColumn("chain", chain).withColumn("odd_end", F.sum("odd").over(in_chain) % 2)
+    splits = splits.withColumn("carried", F.coalesce(F.lag("odd_end").over(by_file), F.lit(0)))
+    placed = loose.join(splits.select(*split, "first", "carried"), split)
+    touches = F.col("island") == F.col("first") - 1
+    placed = placed.withColumn("inside", (F.col("inside") + F.when(touches, F.col("carried")).otherwise(0)) % 2)
+    start = F.last(F.when(F.col("inside") == 0, F.col("at")), ignorenulls=True)
+    placed = placed.withColumn("start", start.over(upto))
+    tails = placed.join(splits.select(*split, "island"), [*split, "island"], "left_semi").groupBy(*split).agg(F.max("start").alias("tail"))
+    before = F.last("tail", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
+    heads = splits.join(tails, split, "left").select(*split, before.alias("head"))
+    keyed = placed.join(heads, split).withColumn("start", F.coalesce("start", "head", "at"))
+    return keyed.groupBy("start").agg(F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
+
+
+def _quotes(column: str) -> Column:
+    return F.length(column) - F.length(F.replace(F.col(column), F.lit('"'), F.lit("")))
+
+
+def _without_headers(lines: DataFrame) -> DataFrame:
+    line = F.col("line")
+    return lines.filter((line != HEADER) & (F.trim(line) != ""))
 
 
 def split_run_lines(lines: DataFrame) -> DataFrame:
@@ -35,37 +117,39 @@ def split_run_lines(lines: DataFrame) -> DataFrame:
 
     One pass for both: write the result, then read runs and rejects from it.
     """
-    record = F.get(_records(), F.lit(0))
-    return lines.select("line", F.when(record.isNotNull(), record.dropFields("fields")).alias("record"))
+    return lines.select("line", _record("line").alias("record"))
 
 
 def parse_run_lines(lines: DataFrame) -> DataFrame:
     """Rows of the RUNS schema from lines that parse completely; see `run_line_counts` for the others."""
-    return lines.select(F.inline(_records())).select(*schemas.RUNS.fieldNames())
+    return lines.select(F.inline(_records("line")))
 
 
 def rejected_run_lines(lines: DataFrame) -> DataFrame:
     """The lines parse_run_lines leaves out."""
-    return split_run_lines(lines).filter(F.col("record").isNull()).select("line")
+    return lines.filter(F.size(_records("line")) == 0).select("line")
 
 
 def run_line_counts(lines: DataFrame) -> DataFrame:
     """One row: how many lines parse and how many are rejected."""
-    rejected = F.col("record").isNull()
-    return split_run_lines(lines).agg(
-        F.count_if(~rejected).alias("parsed"), F.count_if(rejected).alias("rejected")
-    )
+    counts = lines.agg(F.count("*").alias("lines"), F.count_if(F.size(_records("line")) == 0).alias("rejected"))
+    return counts.select((F.col("lines") - F.col("rejected")).alias("parsed"), "rejected")
+
+
+def _record(column: str) -> Column:
+    return F.get(_records(column), F.lit(0))
 
 
-def _records() -> Column:
-    """An array with the record of `line`, or an empty one.
+def _records(column: str) -> Column:
+    """An array with the record of a text column, or an empty one.
 
     The array functions bind the split line to a variable. As a column of its own it would be computed anew for every
     field and condition that reads it.
     """
-    marked = F.regexp_replace("line", _LINE, _MARK.join(f"${group}" for group in range(1, len(_FIELDS) + 1)))
+    marked = F.regexp_replace(column, _LINE, _MARK.join(f"${group}" for group in range(1, len(_FIELDS) + 1)))
     fields = F.split(marked, _MARK, len(_FIELDS))
-    return F.filter(F.transform(F.array(fields), _typed), _complete)
+    complete = F.filter(F.transform(F.array(fields), _typed), _complete)
+    return F.transform(complete, lambda record: F.struct(*[record[name].alias(name) for name in _FIELDS]))
 
 
 def _text(fields: Column, name: str) -> Column:

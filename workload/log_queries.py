@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from jobgauge.operators import logs, trends
-from jobgauge.sources.run_log import parse_run_lines, rejected_run_lines, run_line_counts
+from jobgauge.sources.run_log import parse_run_lines, read_run_records, rejected_run_lines, run_line_counts
+from jobgauge.sources.scratch import scratch_path
 from workload.registry import query
 from workload.views import runs, with_runs
 
@@ -68,6 +69,39 @@ def job_run_line_counts(spark, sf_dir):
     return run_line_counts(_run_lines(spark, sf_dir))
 
 
+def _broken_log(spark, sf_dir):
+    """The run log as files in which every real line of an output is a line of the file."""
+    path = scratch_path(spark, "run-log")
+    lines = _run_lines(spark, sf_dir).select(F.replace("line", F.lit(r"\n"), F.lit("\n")).alias("value"))
+    lines.write.text(path)
+    return read_run_records(spark, path)
+
+
+@query(with_runs(f"""
+SELECT job_id, CASE WHEN kind = 'click' THEN 'click, "fast"' ELSE job_name END AS job_name,
+       CASE WHEN kind <> 'view' THEN {CONFIGURATION_SQL} END AS configuration, runtime_minutes,
+       date_trunc('second', start_time) AS start_time, date_trunc('second', end_time) AS end_time,
+       array_to_string(log_list, chr(10)) AS output
+FROM runs WHERE kind <> 'signup' AND NOT (kind = 'purchase' AND run_id % 2 = 0)
+"""))
+def job_runs_over_lines(spark, sf_dir):
+    """Runs whose outputs hold real line breaks."""
+    parsed = _broken_log(spark, sf_dir).runs
+    return parsed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+
+
+@query(with_runs(f"""
+SELECT unnest(string_split(job_id || ',' || CASE WHEN kind = 'purchase' THEN 'purchase, job' ELSE job_name END || ',' || {CONFIGURATION_SQL} || ','
+       || runtime_minutes::decimal(18,2) || ','
+       || CASE WHEN kind = 'signup' THEN 'soon' ELSE strftime(start_time, '%Y-%m-%d %H:%M:%S') END || ','
+       || strftime(end_time, '%Y-%m-%d %H:%M:%S') || ',"' || array_to_string(log_list, chr(10)) || '"', chr(10))) AS line
+FROM runs WHERE kind = 'signup' OR (kind = 'purchase' AND run_id % 2 = 0)
+"""))
+def job_lines_rejected(spark, sf_dir):
+    """The lines of runs over several lines that do not parse."""
+    return _broken_log(spark, sf_dir).rejected
+
+
 LINES_SQL = r"""
 , lines AS (
     SELECT run_id, job_id, generate_subscripts(log_list, 1)::int - 1 AS line_no, unnest(log_list) AS line FROM runs
