@@ -45,6 +45,28 @@ def transform_sales(
     return cross_reference(kept, regions, "region", order_by, rules.reference_rows, "ref_region")
 
 
+#: Registers of a distinct sketch, as a power of two. One standard error is 1.04 / 2^(SKETCH_BITS / 2), here 1.6 percent.
+SKETCH_BITS = 12
+
+
+def batch_sketches(bronze: DataFrame, column: str = "category", batch: str = "batch_id") -> DataFrame:
+    """One small row per batch, to be kept with it: rows, whether the column has NULL, and a sketch of its distinct values.
+
+    Sketches merge, so `distinct_over_batches` needs no rows of the batches any more.
+    """
+    return bronze.groupBy(batch).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.max(F.col(column).isNull()).alias("has_null"),
+        F.hll_sketch_agg(column, SKETCH_BITS).alias("sketch"),
+    )
+
+
+def distinct_over_batches(sketches: DataFrame) -> DataFrame:
+    """One row: rows and about how many distinct values all batches have together; NULL counts as one, as in ingest_metrics."""
+    distinct = F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)) + F.coalesce(F.max(F.col("has_null").cast("int")), F.lit(0))
+    return sketches.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), distinct.cast("long").alias("distinct_estimate"))
+
+
 def ingest_metrics(bronze: DataFrame) -> DataFrame:
     """Row count, distinct categories (NULL counts as one) and rows without a date."""
     return bronze.agg(

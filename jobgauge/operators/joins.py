@@ -34,6 +34,22 @@ def lookup(fact: DataFrame, dimension: DataFrame, key: str, unique: bool = True)
     return fact.join(side, key, "left")
 
 
+#: Keys that the frequent-items sketch keeps a count of, for each hot key asked for.
+TRACKED_PER_KEY = 64
+
+
+def frequent_keys(fact: DataFrame, key: str, most: int) -> DataFrame:
+    """About the `most` most frequent keys but NULL, and the share of all rows that each has at least.
+
+    From a sketch that tracks 64 keys for each of these: one pass over the key column without a shuffle of keys, as sketches
+    of tasks merge. A count is off by one part in 24 * `most` of the rows at the most (3.5 / size for a sketch of frequent
+    items), so a key with a share above 1 / `most` is always among them.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {most * TRACKED_PER_KEY})")
+    found = fact.agg(sketch.alias("top"), F.count(F.lit(1)).alias("all_rows")).select("all_rows", F.explode("top").alias("top"))
+    return found.filter(F.col("top.item").isNotNull()).select(F.col("top.item").alias(key), (F.col("top.count") / F.col("all_rows")).alias("share"))
+
+
 def salted_lookup(
     fact: DataFrame,
     dimension: DataFrame,
@@ -42,24 +58,23 @@ def salted_lookup(
     salts: int,
     hot_keys: int | None,
 ) -> DataFrame:
-    """Left join that spreads each fact key over `salts` partitions; the dimension is repeated per salt.
+    """Left join that spreads frequent fact keys over up to `salts` partitions; the dimension is repeated per salt.
 
-    `hot_keys=None` repeats every dimension row, which is for small dimensions only. With a number, only that many of the most frequent keys, and NULL, are spread, and only their dimension rows are
-    repeated. No other key can then hold more than one part in `hot_keys` of the rows. Finding them costs one more pass
-    over the key column; their list is bounded by its length, so it is broadcast.
+    `hot_keys=None` spreads every key and repeats every dimension row, which is for small dimensions only. With a number, as
+    many keys of `frequent_keys`, and NULL, are spread, each over salts in proportion to its share, so that none of its parts
+    has much more than one part in `salts` of the rows; only their dimension rows are repeated. The list of these keys is
+    bounded by its length, so it is broadcast.
     """
-    salt = F.pmod(F.xxhash64(*row_key), F.lit(salts)).cast("int")
-    last = F.lit(salts - 1)
+    spread = F.pmod(F.xxhash64(*row_key), F.lit(salts)).cast("int")
     side = unique_by_key(dimension, key)
-    if hot_keys is not None:
-        counts = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        hot = counts.orderBy(F.desc("_rows"), key).limit(hot_keys).select(key, F.lit(True).alias("_hot"))
-        hot = F.broadcast(written(hot, "hot-keys"))
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-        fact = fact.join(hot, key, "left")
-        side = side.join(hot, key, "left")
-        salt = F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0))
-        last = F.when(is_hot, last).otherwise(F.lit(0))
-    salted_fact = fact.withColumn("_salt", salt).drop("_hot")
-    salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot")
+    if hot_keys is None:
+        salted_fact = fact.withColumn("_salt", spread)
+        salted_side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    else:
+        parts = F.greatest(F.lit(1), F.least(F.lit(salts), F.ceil(F.col("share") * salts))).cast("int")
+        hot = F.broadcast(written(frequent_keys(fact, key, hot_keys).select(key, parts.alias("_parts")), "hot-keys"))
+        own = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(F.xxhash64(*row_key), F.coalesce("_parts", F.lit(1))).cast("int"))
+        salted_fact = fact.join(hot, key, "left").withColumn("_salt", own).drop("_parts")
+        last = F.coalesce("_parts", F.lit(1)) - 1
+        salted_side = side.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_parts")
     return salted_fact.join(salted_side, [key, "_salt"], "left").drop("_salt")

@@ -1,5 +1,6 @@
 """Source to bronze job."""
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -33,14 +34,22 @@ def run_ingestion(
     where there is one; without it, the regions come from a second scan of the source.
 
     The write does not shuffle: rows go from the tasks that paired them to the directories of their months.
+
+    With the mode "batch", the batch replaces an earlier one of its id, months that it no longer has included, and all other
+    batches stay; a repeated run changes nothing. Its id is letters, digits, dots, underscores and dashes then.
     """
     batch_id = batch_id or uuid.uuid4().hex
+    if mode == "batch" and not re.fullmatch(r"[\w.-]+", batch_id, re.ASCII):
+        raise ValueError(f"Not an id of a batch: {batch_id!r}")
     source = read_source(spark, source_path, source_format, schemas.SALES)
     bronze = transform_sales(source, rules, reference_order, reference)
     if {"year", "month"} & set(partition_by):
         bronze = add_calendar(bronze)
     if "data_month" in partition_by:
         bronze = add_month(bronze)
+    if mode == "batch":
+        write_table(bronze, f"{target_path}/batch_id={batch_id}", "overwrite", partition_by, rebalance=False)
     bronze = bronze.withColumn("batch_id", F.lit(batch_id))
-    write_table(bronze, target_path, mode, ("batch_id", *partition_by), rebalance=False)
+    if mode != "batch":
+        write_table(bronze, target_path, mode, ("batch_id", *partition_by), rebalance=False)
     return ingest_metrics(spark.read.schema(bronze.schema).parquet(target_path).filter(F.col("batch_id") == batch_id))

@@ -183,3 +183,22 @@ def test_silver_job(spark, tmp_path, path):
     assert daily.agg(F.max("running_total")).first()[0] == main.agg(F.sum("value")).first()[0]
     assert spark.read.parquet(targets["category_metrics"]).agg(F.sum("count")).first()[0] == 300
     assert spark.read.parquet(targets["export"]).count() == 300
+
+
+def test_frequent_keys_without_a_shuffle_of_keys(spark):
+    key = F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 10 == 1, 11).when(F.col("id") % 50 == 2, None).otherwise(100 + F.col("id"))
+    fact = spark.range(40_000).select("id", key.alias("k"))
+    found = joins.frequent_keys(fact, "k", 5)
+    assert "Exchange hashpartitioning" not in plan(found)
+    shares = {r.k: r.share for r in found.collect()}
+    exact = {r.k: r["count"] / 40_000 for r in fact.groupBy("k").count().collect()}
+    assert set(shares) >= {7, 11} and len(shares) <= 5
+    assert all(abs(shares[k] - exact[k]) <= 1 / (24 * 5) for k in shares)
+    assert joins.frequent_keys(fact.limit(0), "k", 5).count() == 0
+
+
+def test_parts_of_a_key_follow_its_share(spark, facts, dimension):
+    salted = joins.salted_lookup(facts.withColumn("region_id", F.coalesce("region_id", F.lit(2))), dimension, "region_id", ["id"], 8, 10)
+    text = plan(salted)
+    assert "BroadcastHashJoin" in text and "CartesianProduct" not in text
+    assert salted.count() == 3000

@@ -8,6 +8,7 @@ from helpers import config, plan, rows
 from jobgauge import schemas
 from jobgauge.operators.ingest import filter_min_value, ingest_metrics, transform_sales
 from jobgauge.plans.ingestion import run_ingestion
+from jobgauge.operators import ingest
 from jobgauge.operators.business import between_dates
 from jobgauge.sources import run_log, scratch
 from jobgauge.sources.tables import read_bronze, read_regions, read_source
@@ -169,3 +170,28 @@ def test_run_log_is_repaired_and_the_rest_rejected(spark, tmp_path):
     rejected = [r.line.split(",")[0] for r in run_log.rejected_run_lines(run_log.read_run_lines(spark, str(file))).collect()]
     assert sorted(rejected) == ["11", "12", "13", "seven"]
     assert run_log.read_run_log(spark, str(file)).schema.simpleString() == schemas.RUNS.simpleString()
+
+
+def test_a_repeated_batch_replaces_itself(spark, sales_csv, path):
+    for batch_id in ("a", "b", "a"):
+        metrics = run_ingestion(spark, sales_csv, path("bronze"), mode="batch", batch_id=batch_id)
+        assert rows(metrics) == [(18, 3, 6)]
+    batches = spark.read.parquet(path("bronze")).groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in batches} == {"a": 18, "b": 18}
+    january = spark.read.option("header", True).csv(sales_csv).filter("date < '2024-02-01'")
+    january.write.option("header", True).csv(path("january"))
+    run_ingestion(spark, path("january"), path("bronze"), mode="batch", batch_id="a")
+    left = spark.read.parquet(path("bronze")).filter("batch_id = 'a'")
+    assert left.filter("data_date >= '2024-02-01'").isEmpty() and 0 < left.count() < 18
+    with pytest.raises(ValueError):
+        run_ingestion(spark, sales_csv, path("bronze"), mode="batch", batch_id="../b")
+
+
+def test_sketches_of_batches_merge_without_their_rows(spark):
+    df = spark.range(30_000).select((F.col("id") % 7).alias("batch_id"), F.when(F.col("id") % 100 > 0, F.col("id") % 9000).cast("string").alias("category"))
+    sketches = ingest.batch_sketches(df)
+    row = ingest.distinct_over_batches(sketches).first()
+    exact = df.select("category").distinct().count()
+    assert sketches.count() == 7 and row.row_count == 30_000
+    assert abs(row.distinct_estimate - exact) <= 4 * 1.04 / 2 ** (ingest.SKETCH_BITS / 2) * exact
+    assert ingest.distinct_over_batches(sketches.limit(0)).first() == (0, 0)

@@ -126,14 +126,39 @@ def ingest_metrics(spark, sf_dir):
 WITH {SOURCE_SQL}
 SELECT count(*) AS row_count,
        count(DISTINCT category) + coalesce(max((category IS NULL)::int), 0) AS distinct_categories,
-       count(*) FILTER (WHERE data_date IS NULL) AS rows_without_date
+       count(*) FILTER (WHERE data_date IS NULL) AS rows_without_date, 2::bigint AS batches, count(*) AS largest_batch
 FROM bronze
 """)
 def bronze_ingest(spark, sf_dir):
-    """The whole ingestion job: CSV source to partitioned bronze, then its metrics."""
+    """The whole ingestion job, for two batches, one of them twice: CSV source to partitioned bronze, then its metrics."""
     source_path = scratch_path(spark, "source")
     _source_rows(spark, sf_dir).write.option("header", True).csv(source_path)
-    return run_ingestion(spark, source_path, scratch_path(spark, "bronze"), "csv", rules=SALES_RULES)
+    target = scratch_path(spark, "bronze")
+    for batch_id in ("first", "second", "second"):
+        metrics = run_ingestion(spark, source_path, target, "csv", "batch", rules=SALES_RULES, batch_id=batch_id)
+    rows = spark.read.parquet(target).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    batches = rows.agg(F.count(F.lit(1)).alias("batches"), F.max("n").alias("largest_batch"))
+    return metrics.withColumns({name: batches.select(name).scalar() for name in batches.columns})
+
+
+@query("""
+SELECT count(DISTINCT date_trunc('month', ts)) AS batches, count(*) AS row_count, count(DISTINCT user_id) AS distinct_users, true AS within_error
+FROM events
+""")
+def distinct_over_batches(spark, sf_dir):
+    """Users over batches by month, from a kept sketch per batch: the estimate within four standard errors of the count."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "sketches")
+    batches = events.withColumn("batch_id", F.date_format("ts", "yyyy-MM"))
+    ingest.batch_sketches(batches, "user_id").write.parquet(path)
+    sketches = spark.read.parquet(path)
+    exact = events.agg(F.count_distinct("user_id")).scalar()
+    counts = ingest.distinct_over_batches(sketches).withColumns(
+        {"batches": sketches.agg(F.count(F.lit(1))).scalar(), "distinct_users": exact}
+    )
+    error = F.abs(F.col("distinct_estimate") - F.col("distinct_users")) / F.col("distinct_users")
+    within = error <= 4 * 1.04 / 2 ** (ingest.SKETCH_BITS / 2)
+    return counts.select("batches", "row_count", "distinct_users", within.alias("within_error"))
 
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice, strftime(o_orderdate, '%B') AS month FROM orders")
