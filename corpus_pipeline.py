@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,23 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 
 
+#: Columns that stages read or write; all others pass through.
+READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that cannot mistake the caller's other columns for its own: they have plain names while it runs."""
+
+    @functools.wraps(stage)
+    def run_apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = {name: f"extra{i}" for i, name in enumerate(docs.columns) if name not in READ}
+        out = stage(spark, docs.toDF(*[plain.get(name, name) for name in docs.columns]), sf_dir)
+        return out.toDF(*docs.columns)
+
+    return run_apart
+
+
+@_apart
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier scores below 0.5. Labels come from the labels table.
 
@@ -23,6 +43,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).filter("_score >= 0.5").select(*docs.columns)
 
 
+@_apart
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that many sources share from all but their first document, and drop documents left without any text.
 
@@ -33,20 +54,32 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _with_length(kept, "_cut").select(*docs.columns)
 
 
+@_apart
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, the one with the smallest doc_id; see `jaccard_join.keep_first`."""
+    """Keep one document of each group of near copies, the one with the smallest doc_id; see `jaccard_join.keep_first`.
+
+    NULL, empty and blank texts all stay; of repeated rows one stays; an empty table stays empty.
+    """
     return jaccard_join.keep_first(docs, jaccard_join.link_documents(docs, shingle_words=SHINGLE_WORDS, percent=PERCENT))
 
 
+@_apart
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut benchmark passages, and drop documents that consist of them for the most part. n_chars follows the text."""
+    """Cut benchmark passages, and drop documents that consist of them for the most part. n_chars follows the text.
+
+    NULL and empty texts stay as they are, repeated rows are treated alike, an empty table or benchmark drops nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     cut = decontaminate.decontaminate(docs.withColumn("_before", F.xxhash64("text")), benchmark)
     return _with_length(cut.withColumn("_cut", F.xxhash64("text") != F.col("_before")), "_cut").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The plan of the mix: doc_id, source, size, source_size, target and taken, the words to take of each document."""
+    """The plan of the mix: doc_id, source, size, source_size, target and taken, the words to take of each document.
+
+    NULL and empty texts have size 0 and are never taken, repeated rows are documents of their own, other columns are left
+    out, an empty table gives an empty one.
+    """
     return mixing.mix(docs)
 
 
