@@ -101,6 +101,10 @@ def find_entities(text: str) -> list[Entity]:
     return taken
 
 
+#: Attempts after which the space of a format counts as full, and its surrogates may leave it: see `surrogate`.
+WIDEN = 4
+
+
 class _Draw:
     """A stream of numbers fixed by the key and the entity."""
 
@@ -125,7 +129,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 
     That of a surname is its script and stem. That of a person is what tells full names apart: script, drawn given names
     and, as real and drawn surnames go one to one, the real surname. A surname alone is a person of its own.
+
+    Names get longer with every attempt. The other kinds keep their form for `WIDEN` attempts. Then addresses of private
+    networks leave these, e-mails get one more letter and numbers one more digit an attempt, and after as many attempts
+    again addresses become ones of the IPv6 range for documents. So draws end however many entities fill a form.
     """
+    more = max(0, attempt - WIDEN + 1)
     draw = _Draw(key, kind, value, attempt)
     if kind == "surname":
         script = value.partition(":")[0]
@@ -136,14 +145,16 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return f"{script}::{' '.join([*given, surname])}" if given else f"::{value}"
     if kind == "ip":
         parts = value.split(".")
-        kept = 2 if value.startswith("192.168.") else 1 if parts[0] in ("10", "127") else 0
+        if attempt >= 2 * WIDEN:
+            return "2001:db8::" + ":".join(f"{draw.below(1 << 16):x}" for _ in range(5))
+        kept = 0 if more else 2 if value.startswith("192.168.") else 1 if parts[0] in ("10", "127") else 0
         drawn = [str(1 + draw.below(223)) if i == 0 else str(draw.below(256)) for i in range(4)]
         return ".".join(parts[:kept] + drawn[kept:])
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
-        return f"{_redrawn(local, draw)}@{_redrawn(host, draw)}.{top}"
-    digits = _redrawn(value, draw)
+        return f"{_redrawn(local + 'x' * more, draw)}@{_redrawn(host, draw)}.{top}"
+    digits = _redrawn(value + "0" * more, draw)
     if kind == "card" and _luhn(value) == 0:
         digits = next(digits[:-1] + str(d) for d in range(10) if _luhn(digits[:-1] + str(d)) == 0)
     return digits
@@ -188,7 +199,7 @@ def render(entity: Entity, found: str, replacement: str) -> str:
         return " ".join(styled)
     if entity.kind in ("ssn", "card", "phone"):
         digits = iter(replacement)
-        return "".join(next(digits) if c.isdigit() else c for c in found)
+        return "".join(next(digits) if c.isdigit() else c for c in found) + "".join(digits)
     if entity.kind == "email" and len(found) == len(replacement):
         return "".join(r.upper() if f.isupper() else r for r, f in zip(replacement, found, strict=True))
     return replacement

@@ -470,3 +470,14 @@ def test_decontamination_against_all_windows(spark):
     assert clean[4] == LONG and clean[1] is None
     assert decontaminate.find_contamination(documents(spark, rows), benchmark.limit(0)).filter("size(_items) > 0").isEmpty()
     assert decontaminate.decontaminate(documents(spark, []), benchmark).count() == 0
+
+
+def test_surrogates_leave_a_form_that_is_full(spark):
+    addresses = [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(256)]
+    mails = [("email", f"{a}@{b}.de") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    digits = [("phone", str(n)) for n in range(10)]
+    values = spark.createDataFrame(addresses + mails + digits, "kind string, value string")
+    table = pii.surrogate_table(values, b"key").collect()
+    made = {(r.kind, r.made) for r in table}
+    assert len(made) == len(table) == values.count()
+    assert not made & set(addresses + mails + digits)

@@ -219,3 +219,18 @@ def test_unrelated_sets_share_no_keys_and_have_distant_sketches(percent):
                 assert not len(np.intersect1d(keys, their))
                 assert _distance(own, other, percent) > jaccard_join.most_different(size, size, percent)
             seen.append((own, keys))
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    names = ["_score", "_before", "_cut", "_n", "_doc", "_row", "_stays", "_rank", "_spans", "_items", "_n_words", "_hit", "_lines",
+             "_removed", "_n_lines", "class", "class2", "root", "of", "key", "a", "b", "size", "extra0"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    wide = docs.select("*", *[F.concat(F.lit(f"{name} of "), "doc_id").alias(name) for name in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF_DIR)
+        assert out.dtypes == wide.dtypes
+        assert {tuple(r) for r in out.select("doc_id", *docs.columns[2:4]).collect()} == {
+            tuple(r) for r in stage(spark, docs, SF_DIR).select("doc_id", *docs.columns[2:4]).collect()
+        }
+        for row in out.collect():
+            assert all(row[name] == f"{name} of {row.doc_id}" for name in names)
