@@ -237,15 +237,15 @@ def link_documents(
     members = _without_spares(_members(key_table(documents, shingle_words, percent)), classes)
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = written(_close_pairs(pairs, classes, percent), "pairs")
+        pairs = written(pairs, "pairs")
         sets = _pair_sets(documents, pairs, classes, shingle_words)
         links = written(_verified(pairs, sets, percent), "links")
         discard(pairs, sets)
         return links
 
-    first = links_of(_leader_pairs(members))
+    first = links_of(_close_pairs(_leader_pairs(members), classes, percent))
     found = connected_components(first, "a", "b")
-    rest = links_of(_remaining_pairs(members, found))
+    rest = links_of(_remaining_pairs(members, found, classes, percent))
     roots = connected_components(first.unionByName(rest), "a", "b")
     named = classes.join(roots, classes["class"] == roots["node"], "left").withColumn("root", F.coalesce("root", "class"))
     named = written(named.select("class", "class2", "root", "first_doc"), "named-classes")
@@ -365,15 +365,19 @@ def _leader_pairs(members: DataFrame) -> DataFrame:
     return _distinct_pairs(pairs.filter(F.col("a_class") != F.col("b_class")))
 
 
-def _remaining_pairs(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs within a key's group that the links found so far leave in different components."""
+def _remaining_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Close pairs within a key's group that the links found so far leave in different components.
+
+    Sizes and sketches are compared inside the join, so that pairs that are not close are never written.
+    """
     placed = members.join(components.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("root", F.coalesce("root", "class"))
     split = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
-    open_groups = written(placed.join(split.select("key"), "key", "left_semi"), "open-groups")
+    described = classes.select("class", "n_shingles", "sketch")
+    open_groups = written(placed.join(split.select("key"), "key", "left_semi").join(described, "class"), "open-groups")
     left, right = _prefixed(open_groups, "a_"), _prefixed(open_groups, "b_")
     apart = (F.col("a_class") < F.col("b_class")) & (F.col("a_root") != F.col("b_root"))
-    return _distinct_pairs(left.join(right, (F.col("a_key") == F.col("b_key")) & apart))
+    return _distinct_pairs(left.join(right, (F.col("a_key") == F.col("b_key")) & apart & close("a_", "b_", percent)))
 
 
 def _close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
