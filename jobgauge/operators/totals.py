@@ -1,10 +1,11 @@
 """Aggregates of the silver table. Totals are exact sums of doubles, rounded once."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobgauge.functions.exact import bin_columns, exact_aggregate, folded_columns, present_bins
+from jobgauge.functions.exact import exact_aggregate
 from jobgauge.functions.numbers import misfits
+from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.sources.scratch import written
 
 
@@ -29,42 +30,16 @@ def category_metrics(df: DataFrame) -> DataFrame:
 
 
 def with_running_total(daily: DataFrame) -> DataFrame:
-    """Add the total of all rows up to and including each date; rows of one date share it.
+    """Add the total of all rows up to and including each date, or time stamp; rows of one date share it.
 
-    Prefix sum in two levels. Windows run inside one month each; the only unpartitioned window sees one row per month.
     The aggregate is needed twice, so it is computed once and kept in the scratch space.
     """
-    daily = written(daily, "daily")
-    month = F.trunc(F.col("data_date").cast("date"), "month")
-    bins = present_bins(daily, "total_value")
-    parts = bin_columns("total_value", bins)
-    per_date = daily.groupBy("data_date").agg(*[F.sum(part).alias(name) for name, part in parts.items()])
-    per_date = per_date.withColumn("_month", month)
-    in_month = Window.partitionBy("_month").orderBy("data_date")
-    per_month = per_date.groupBy(F.col("_month").alias("_key")).agg(*[F.sum(name).alias(name) for name in parts])
-    before = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_month.select("_key", *[F.sum(name).over(before).alias(f"_before{name}") for name in parts])
-
-    def prefix(name: str) -> Column:
-        return F.coalesce(F.col(f"_upto{name}"), F.lit(0)) + F.coalesce(F.col(f"_before{name}"), F.lit(0))
-
-    running = (
-        per_date.select("data_date", "_month", *[F.sum(name).over(in_month).alias(f"_upto{name}") for name in parts])
-        .join(offsets, F.col("_month").eqNullSafe(F.col("_key")))
-        .select(F.col("data_date").alias("_date"), folded_columns(bins, prefix).alias("running_total"))
-    )
-    return daily.join(running, F.col("data_date").eqNullSafe(F.col("_date"))).drop("_date")
+    return with_prefix_sum(written(daily, "daily"), "total_value", ["data_date"], "running_total")
 
 
 def with_regional_running_total(daily: DataFrame) -> DataFrame:
-    """As with_running_total, per region: each window holds one row per date. The daily totals are kept in the scratch space."""
-    daily = written(daily, "daily")
-    by_region = Window.partitionBy("region").orderBy("data_date")
-    frame = by_region.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = present_bins(daily, "total_value")
-    parts = bin_columns("total_value", bins)
-    sums = daily.withColumns(parts).withColumns({f"_upto{name}": F.sum(name).over(frame) for name in parts})
-    return sums.withColumn("running_total", folded_columns(bins, lambda name: F.col(f"_upto{name}"))).select(*daily.columns, "running_total")
+    """As with_running_total, per region; a region with most of the rows is split over many tasks, too."""
+    return with_prefix_sum(written(daily, "daily"), "total_value", ["data_date"], "running_total", ["region"])
 
 
 def top_days(daily: DataFrame, rows: int) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import fractions
 import math
 import re
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan, rows
 from jobgauge.operators import business, joins, totals
+from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.plans.ingestion import run_ingestion
 from jobgauge.plans.silver import TARGETS, run_silver
 
@@ -48,8 +50,46 @@ def test_running_total_has_no_single_partition_over_days(spark, sales):
     text = plan(totals.with_running_total(totals.daily_totals(sales)))
     before = text.split("SinglePartition")
     assert len(before) == 2
-    # What reaches the one task has been grouped by month.
-    assert "Exchange hashpartitioning(_month" in before[1]
+    # What reaches the one task has been grouped by range of the order.
+    assert "Exchange hashpartitioning(stretch" in before[1]
+    regional = plan(totals.with_regional_running_total(totals.daily_totals(sales)))
+    assert "SinglePartition" not in regional
+    assert "Window" in regional and "hashpartitioning(stretch" in regional
+
+
+def _plain_prefix(data):
+    """The running total of (group, place, value) rows, ties included, by exact fractions."""
+    return {
+        (g, p): float(sum((fractions.Fraction(v) for h, q, v in data if h == g and (q is None or (p is not None and q <= p))), fractions.Fraction()))
+        for g, p, _ in data
+    }
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_prefix_sum_over_time_stamps_with_ties_across_ranges(spark, ranges):
+    start = dt.datetime(2024, 5, 1)
+    hot = start + dt.timedelta(microseconds=40)
+    data = [("a" if i % 5 else "b", start + dt.timedelta(microseconds=i // 3), [0.1, 1e16, -1e16, 2.0**-30][i % 4]) for i in range(300)]
+    data += [("a", hot, 0.3)] * 200 + [(None, None, 1.5), (None, start, 2.5), ("b", None, 4.0)]
+    df = spark.createDataFrame(data, "g string, at timestamp, value double")
+    found = with_prefix_sum(df, "value", ["at"], "total", ["g"], ranges)
+    expected = _plain_prefix(data)
+    got = found.collect()
+    assert len(got) == len(data) and found.columns == ["g", "at", "value", "total"]
+    assert all(r.total == expected[r.g, r["at"]] for r in got)
+    alone = with_prefix_sum(df.drop("g"), "value", ["at"], "total", ranges=ranges).collect()
+    whole = _plain_prefix([(None, p, v) for _, p, v in data])
+    assert len(alone) == len(data) and all(r.total == whole[None, r["at"]] for r in alone)
+
+
+def test_prefix_sum_with_clashing_columns_missing_values_and_no_rows(spark):
+    data = [(1, None, 7, "x"), (2, float("nan"), 8, "y"), (3, 2.0, 9, "z"), (3, 1.0, 9, "z")]
+    df = spark.createDataFrame(data, "key0 int, value double, stretch int, total string")
+    found = with_prefix_sum(df, "value", ["key0"], "sum")
+    assert [(r.key0, r.stretch, r.total, r.sum) for r in found.orderBy("key0").collect()] == [
+        (1, 7, "x", None), (2, 8, "y", None), (3, 9, "z", 3.0), (3, 9, "z", 3.0),
+    ]
+    assert with_prefix_sum(df.limit(0), "value", ["key0"], "sum").count() == 0
 
 
 def test_regional_running_total(spark, sales):

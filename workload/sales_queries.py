@@ -6,6 +6,7 @@ from jobgauge import schemas
 from jobgauge.functions.exact import exact_aggregate
 from jobgauge.functions.sales import parse_date
 from jobgauge.operators import business, ingest, joins, totals
+from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.plans.ingestion import run_ingestion
 from jobgauge.plans.silver import run_silver, silver_table
 from jobgauge.sources.scratch import scratch_path
@@ -313,6 +314,19 @@ def running_total_by_region(spark, sf_dir):
     return running
 
 
+@query(f"""
+SELECT event_id, {exact_sum_sql('value', ' OVER (ORDER BY ts)')} AS running_total,
+       {exact_sum_sql('value', ' OVER (PARTITION BY event_type ORDER BY ts)')} AS running_by_type
+FROM events
+""")
+def running_total_by_time(spark, sf_dir):
+    """Running totals over full time stamps, of all events and per type, of which there are few."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    running = with_prefix_sum(events, "value", ["ts"], "running_total")
+    by_type = with_prefix_sum(running, "value", ["ts"], "running_by_type", ["event_type"])
+    return by_type.select("event_id", "running_total", "running_by_type")
+
+
 @query(with_sales(f""", {TAX_SQL}
 SELECT 'main' AS output, region AS label, count(*) AS row_count, {exact_sum_sql('value')} AS total
 FROM silver GROUP BY region
