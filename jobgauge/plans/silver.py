@@ -8,6 +8,7 @@ from jobgauge.operators.business import add_month, apply_business_rules
 from jobgauge.operators.joins import lookup
 from jobgauge.operators.totals import category_metrics, daily_totals, with_running_total
 from jobgauge.rules import SALES_DEFAULTS, SalesRules
+from jobgauge.sources.publish import publish_tables
 from jobgauge.sources.tables import read_bronze, read_regions
 from jobgauge.sources.writers import export_copy, write_table, write_tables
 
@@ -50,3 +51,20 @@ def run_silver(
     bronze = read_bronze(spark, bronze_path)
     regions = read_regions(spark, region_path, region_format)
     return write_silver(silver_table(bronze, regions, rules), target_paths)
+
+
+def publish_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    region_path: str,
+    base_path: str,
+    rules: SalesRules = SALES_DEFAULTS,
+    region_format: str = "csv",
+) -> dict[str, str]:
+    """`run_silver` with its four outputs published together below `base_path`; see `sources.publish.published`."""
+
+    def write(folder: str) -> Mapping[str, str]:
+        targets = {name: f"{folder}/{name}" for name in TARGETS}
+        return run_silver(spark, bronze_path, region_path, targets, rules, region_format)
+
+    return publish_tables(spark, base_path, write)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from jobgauge import rules as R
 from jobgauge.functions.runs import config_fields, grown_workers, matching_patterns
 from jobgauge.operators import advice, changes, costs, history, reports, summary
-from jobgauge.plans.advisor import run_advisor
+from jobgauge.plans.advisor import publish_advisor
+from jobgauge.sources.publish import published
 from jobgauge.sources.scratch import scratch_path
 from jobgauge.streaming import monitor
 from workload.registry import query
@@ -350,17 +351,18 @@ UNION ALL SELECT 'status without runs', 'failed', NULL
 def advisor_run(spark, sf_dir):
     """The whole advisor job, checked by the rows of all its tables, after a second run that found no data."""
     path = scratch_path(spark, "advisor")
-    status = run_advisor(spark, runs(spark, sf_dir), path, batch_id=1, rules=RUN_RULES, tiebreak=TIEBREAK)
+    status = publish_advisor(spark, runs(spark, sf_dir), path, batch_id=1, rules=RUN_RULES, tiebreak=TIEBREAK)
 
     def rows_of(name, label):
-        rows = spark.read.parquet(f"{path}/{name}").groupBy(label.alias("label"))
+        rows = spark.read.parquet(paths[name]).groupBy(label.alias("label"))
         return rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("output"), "label", "row_count")
 
-    failed = run_advisor(spark, runs(spark, sf_dir).limit(0), path, batch_id=2, rules=RUN_RULES, tiebreak=TIEBREAK)
+    failed = publish_advisor(spark, runs(spark, sf_dir).limit(0), path, batch_id=2, rules=RUN_RULES, tiebreak=TIEBREAK)
+    paths = published(spark, path) | {"history": f"{path}/history"}
     written = rows_of("config_changes", F.col("action"))
     for name in (*JOB_TABLES, "hint_documents", "report_details", "top_priority", "top_change_request"):
         written = written.union(rows_of(name, F.col("job_id").cast("string")))
-    summed = spark.read.parquet(f"{path}/report_summary")
+    summed = spark.read.parquet(paths["report_summary"])
     written = written.union(summed.select(F.lit("report_summary"), F.lit("HIGH"), "high_priority"))
     written = written.union(status.select(F.lit("status"), "status", "suggestions"))
     return written.union(failed.select(F.lit("status without runs"), "status", "suggestions"))

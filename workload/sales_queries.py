@@ -8,7 +8,8 @@ from jobgauge.functions.sales import parse_date
 from jobgauge.operators import business, ingest, joins, totals
 from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.plans.ingestion import run_ingestion
-from jobgauge.plans.silver import run_silver, silver_table
+from jobgauge.plans.silver import publish_silver, silver_table
+from jobgauge.sources.publish import published
 from jobgauge.sources.scratch import scratch_path
 from jobgauge.sources.tables import read_source
 from jobgauge.sources.writers import write_table
@@ -339,14 +340,14 @@ UNION ALL
 SELECT 'export', year || ' ' || month, count(*), {exact_sum_sql('value')} FROM silver GROUP BY ALL
 """))
 def silver_build(spark, sf_dir):
-    """The whole silver job, checked by row counts and totals of its four outputs."""
+    """The whole silver job, checked by row counts and totals of its four outputs, which are published together."""
     bronze_path, region_path = scratch_path(spark, "bronze"), scratch_path(spark, "regions")
     write_table(sales(spark, sf_dir), bronze_path)
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("region"))
     region.write.option("header", True).csv(region_path)
     base = scratch_path(spark, "silver")
-    targets = {name: f"{base}/{name}" for name in ("main", "daily_agg", "category_metrics", "export")}
-    paths = run_silver(spark, bronze_path, region_path, targets, SALES_RULES)
+    publish_silver(spark, bronze_path, region_path, base, SALES_RULES)
+    paths = published(spark, base)
 
     def totals_of(name, label, value="value"):
         rows = read_source(spark, paths[name], "parquet").withColumn("label", label)
