@@ -1,7 +1,6 @@
 """Queries over job runs: summary, rules, suggestions, outputs, history, streaming."""
 
 import datetime as dt
-import time
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -397,39 +396,34 @@ def history_rollup(spark, sf_dir):
     return rolled.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
 
 
-def _run_stream(spark, sf_dir, path, files=3):
-    """A stream over the runs in files that follow each other in time, one file a batch.
+def _run_streams(spark, sf_dir, path, groups=3):
+    """The stream over the runs, each time that a group of files has arrived; groups follow each other in time.
 
-    Of the first day's runs every tenth comes in the last file.
+    Each group is written by the tasks that read the table. Of the first day's runs every tenth comes in the last group.
     """
     events = table(spark, sf_dir, "events")
-    share = F.ntile(files).over(Window.orderBy("day")) - 1
-    days = events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*")).select("day", share.alias("file"))
+    share = F.ntile(groups).over(Window.orderBy("day")) - 1
+    days = events.groupBy(F.to_date("ts").alias("day")).agg(F.count("*")).select("day", share.alias("group"))
     first_day = days.agg(F.min("day")).scalar()
     placed = events.withColumn("day", F.to_date("ts")).withColumn("first_day", first_day).join(days, "day", "left")
     held_back = (F.col("day") == F.col("first_day")) & (F.col("event_id") % 10 == 0)
-    placed = placed.withColumn("file", F.when(held_back, files - 1).otherwise(F.coalesce("file", F.lit(files - 1))))
-    placed = placed.drop("day", "first_day")
-    for file in range(files):
-        placed.filter(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(f"{path}/files")
-        time.sleep(0.01)  # the stream takes files by their time
-    return as_runs(monitor.read_run_stream(spark, f"{path}/files", events.schema, files_per_trigger=1))
+    placed = placed.withColumn("group", F.when(held_back, groups - 1).otherwise(F.coalesce("group", F.lit(groups - 1))))
+    for group in range(groups):
+        arrived = placed.filter(F.col("group") == group).drop("day", "first_day", "group")
+        arrived.write.mode("append").parquet(f"{path}/files")
+        yield as_runs(monitor.read_run_stream(spark, f"{path}/files", events.schema))
 
 
 @query(with_runs("SELECT job_id, avg_runtime, recommendation FROM analysis"))
 def monitor_stream(spark, sf_dir):
     """The last snapshot a stream over the run files leaves in the history."""
     path = scratch_path(spark, "monitor")
-    stream = _run_stream(spark, sf_dir, path)
-    query = monitor.monitor_history(
-        stream,
-        f"{path}/history",
-        f"{path}/state",
-        RUN_RULES,
-        TIEBREAK,
-        state_partitions=spark.sparkContext.defaultParallelism,
-    )
-    query.awaitTermination()
+    partitions = spark.sparkContext.defaultParallelism
+    for stream in _run_streams(spark, sf_dir, path):
+        query = monitor.monitor_history(
+            stream, f"{path}/history", f"{path}/state", RUN_RULES, TIEBREAK, state_partitions=partitions
+        )
+        query.awaitTermination()
     snapshots = history.read_history(spark, f"{path}/history")
     last = snapshots.agg(F.max("batch_id")).scalar()
     return snapshots.filter(F.col("batch_id") == last).select("job_id", "avg_runtime", "recommendation")
@@ -477,8 +471,7 @@ def _closed_days(spark, sf_dir):
 
     path = scratch_path(spark, "daily")
     partitions = spark.sparkContext.defaultParallelism
-    query = monitor.monitor_daily(
-        dated(_run_stream(spark, sf_dir, path)), f"{path}/days", f"{path}/state", state_partitions=partitions
-    )
-    query.awaitTermination()
+    for stream in _run_streams(spark, sf_dir, path):
+        query = monitor.monitor_daily(dated(stream), f"{path}/days", f"{path}/state", state_partitions=partitions)
+        query.awaitTermination()
     return spark.read.parquet(f"{path}/days"), dated(runs(spark, sf_dir))
