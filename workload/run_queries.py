@@ -1,13 +1,14 @@
 """Queries over job runs: summary, rules, suggestions, outputs, history, streaming."""
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from jobgauge import rules as R
 from jobgauge.functions.runs import config_fields, grown_workers, matching_patterns
-from jobgauge.operators import advice, changes, costs, history, reports, summary
+from jobgauge.operators import advice, changes, costs, history, reports, summary, summary_store
 from jobgauge.plans.advisor import publish_advisor
 from jobgauge.sources.publish import published
 from jobgauge.sources.scratch import scratch_path
@@ -99,11 +100,24 @@ def severity_rules(spark, sf_dir):
     return rated.select("job_id", "reason", "severity")
 
 
-@query(with_runs("SELECT * FROM analysis"))
+JOB_ANALYSIS_SQL = with_runs("SELECT * FROM analysis")
+
+
+@query(JOB_ANALYSIS_SQL)
 def job_analysis(spark, sf_dir):
     return _analysis(spark, sf_dir)
 
 
+@query(JOB_ANALYSIS_SQL)
+def job_analysis_stored(spark, sf_dir):
+    """The analysis from the stored summaries of three batches, which share jobs."""
+    table_name, path = f"summaries_{uuid.uuid4().hex}", scratch_path(spark, "summaries")
+    for batch in range(3):
+        arrived = runs(spark, sf_dir).filter(F.col("run_id") % 3 == batch)
+        summary_store.store_summaries(arrived, table_name, path, 8, RUN_RULES, TIEBREAK)
+    return summary_store.stored_analysis(spark, table_name, RUN_RULES, TIEBREAK)
+
+
 @query(with_runs("""
 SELECT job_id, num_workers, greatest(2, trunc(num_workers * 1.5::double)::int) AS grown_workers FROM analysis
 """))
