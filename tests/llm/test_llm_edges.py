@@ -421,20 +421,48 @@ def test_topk_against_all_pairs(spark):
     vectors += vectors[:40] + [(3, [0.5] * 6), (20, [0.25] * 6)]
     df = spark.createDataFrame([(*v, "x") for v in vectors], "vec_id bigint, embedding array<double>, q string")
     rows = topk.top_k(df, F.col("vec_id") % 20 == 0, 7, shard_vectors=64).collect()
-    sound = {
+    sound = [
         (i, tuple(int(np.floor(64 * x)) for x in v))
         for i, v in vectors
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
-    }
+    ]
     expected = []
-    for i, q in sound:
+    for own, (i, q) in enumerate(sound):
         if i % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in sound if j != i and len(v) == len(q))
+            others = [s for at, s in enumerate(sound) if at != own]  # repeated rows are candidates and queries of their own
+            scores = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in others if len(v) == len(q))
             expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:7], 1)]
     assert sorted(map(tuple, rows)) == sorted(expected)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0, 7).count() == 0
 
 
+def test_topk_skips_cells_whose_box_allows_too_little(spark, monkeypatch):
+    """Clusters far apart, a third of all rows one vector: cells split by salts, the same result as all pairs."""
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 8)
+    rng = np.random.default_rng(19)
+    points = np.concatenate([rng.normal(c, 0.05, (100, 4)) for c in (-2.0, -1.0, 1.0, 2.0)] + [np.ones((200, 4))])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
+    rows = topk.top_k(df, F.col("vec_id") % 20 == 0, 5, shard_vectors=32).collect()
+    q = np.floor(64 * points).astype(np.int64)
+    expected = []
+    for i in range(0, len(q), 20):
+        scores = sorted((-int(s), j) for j, s in enumerate(q @ q[i]) if j != i)
+        expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:5], 1)]
+    assert sorted(map(tuple, rows)) == sorted(expected)
+
+
+def test_topk_cells_hold_their_vectors():
+    rng = np.random.default_rng(29)
+    points = rng.normal(0, 1, (500, 3))
+    cells = topk.Cells.of(points[:100], 8)
+    found = cells.find(points)
+    low, high = (np.stack([side(points[found == c], axis=0) for c in np.unique(found)]) for side in (np.min, np.max))
+    bounds = topk.box_bounds(low, high, points)
+    best = np.stack([(points @ points[found == c].T).max(axis=1) for c in np.unique(found)], axis=1)
+    assert len(np.unique(found)) == 8 and (bounds >= best - 1e-9).all()
+    assert not topk.Cells.of(np.ones((50, 3)), 8).splits and not topk.Cells.of(np.zeros((0, 0)), 8).splits
+
+
 # Benchmark decontamination
 
 
