@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobgauge import rules as R
 from jobgauge.functions.runs import config_fields, grown_workers, matching_patterns
-from jobgauge.operators import advice, changes, costs, history, reports, summary, summary_store
+from jobgauge.operators import advice, changes, costs, history, history_store, reports, summary, summary_store
 from jobgauge.plans.advisor import publish_advisor
 from jobgauge.sources.publish import published
 from jobgauge.sources.scratch import scratch_path
@@ -410,6 +410,31 @@ def history_rollup(spark, sf_dir):
     return rolled.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
 
 
+@query(f"""
+WITH span AS (SELECT min(ts)::date AS first, max(ts)::date AS last FROM events),
+cuts AS (SELECT (first + 1 + ((last - first) * i // 4)::int)::date AS cut FROM span, range(5) AS steps(i)),
+snapshots AS (
+    SELECT cut, user_id AS job_id, {exact_sum_sql('value')} / count(value) AS avg_runtime
+    FROM cuts JOIN events ON ts < cut GROUP BY cut, user_id HAVING count(*) >= 2
+)
+SELECT job_id, count(*) AS snapshots, min(cut)::timestamp AS first_ts, max(cut)::timestamp AS last_ts,
+       arg_min(avg_runtime, cut) AS first_avg_runtime, arg_max(avg_runtime, cut) AS last_avg_runtime,
+       arg_max(avg_runtime, cut) - arg_min(avg_runtime, cut) AS change
+FROM snapshots GROUP BY job_id
+""")
+def history_compacted(spark, sf_dir):
+    """Five growing snapshots, compacted after each in spans of two: the rollup of a merged span and an open batch."""
+    path, store = scratch_path(spark, "history"), scratch_path(spark, "spans")
+    first, last = runs(spark, sf_dir).agg(F.to_date(F.min("start_time")), F.to_date(F.max("start_time"))).first()
+    for batch_id in range(5):
+        cut = first + dt.timedelta(days=1 + (last - first).days * batch_id // 4)
+        so_far = runs(spark, sf_dir).filter(F.col("start_time") < F.lit(cut))
+        history.append_history(summary.analyze_runs(so_far, RUN_RULES, TIEBREAK), path, batch_id, F.lit(cut))
+        history_store.compact_history(spark, path, store, fanout=2)
+    rolled = history_store.compacted_rollup(spark, path, store).drop("recommendation")
+    return rolled.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
+
+
 def _run_streams(spark, sf_dir, path, groups=3):
     """The stream over the runs, each time that a group of files has arrived; groups follow each other in time.
 
