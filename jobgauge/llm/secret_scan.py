@@ -40,6 +40,9 @@ _RUN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234
 _HEX_BYTES = np.zeros(256, bool)
 _HEX_BYTES[[ord(c) for c in "0123456789abcdef"]] = True
 
+#: Pieces of candidates that the network reads at once.
+PIECES = 4096
+
 Span = tuple[int, int, int]  # start, index of the kind, end
 
 
@@ -107,13 +110,18 @@ class _Taken:
         return before > 0 and self.reach[before - 1] > first
 
 
-def window(text: str, first: int, end: int, params: ScanParams) -> str:
-    """Context before, the candidate cut or filled to a fixed length, and context after; missing places are \\0."""
+def windows(text: str, first: int, end: int, params: ScanParams) -> Iterator[str]:
+    """Context before, a piece of the candidate of a fixed length, and context after; missing places are \\0.
+
+    A candidate that is no longer than a piece is filled up. Of others, pieces overlap so that each run of characters as
+    wide as the convolution lies in one of them, so all of a candidate is read, however long it is.
+    """
     before = text[max(0, first - params.context) : first].rjust(params.context, "\0")
-    inner = text[first:end]
-    if len(inner) > params.middle:
-        inner = inner[: params.middle // 2] + inner[-(params.middle // 2) :]
-    return before + inner.ljust(params.middle, "\0") + text[end : end + params.context].ljust(params.context, "\0")
+    after = text[end : end + params.context].ljust(params.context, "\0")
+    last = max(first, end - params.middle)
+    for at in range(first, max(first + 1, end - params.width + 1), params.middle - params.width + 1):
+        at = min(at, last)
+        yield before + text[at : min(end, at + params.middle)].ljust(params.middle, "\0") + after
 
 
 def in_context_of(window: str, other: str, params: ScanParams) -> str:
@@ -178,6 +186,11 @@ class SecretNet:
         """Calibrated probability that a candidate is a secret."""
         return _sigmoid(self.scale * self.logits(codes) + self.shift)
 
+    def secrets(self, pieces: list[str], owners: list[tuple]) -> set[tuple]:
+        """The candidates of which a piece is a secret; `owners` names the candidate of each piece."""
+        chosen = self.probability(encode(pieces)) >= self.threshold if pieces else ()
+        return {owners[at] for at in np.flatnonzero(chosen)}
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
@@ -263,17 +276,18 @@ def fit_secret_net(documents: DataFrame, params: ScanParams = DEFAULTS) -> Secre
 
     def findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows, labels = [], []
+            learnt, labels = [], []
             for row in marked_rows(batch.column(0)):
                 text = batch.column(0)[row].as_py()
                 base = _Taken(base_spans(text))
                 for first, end in candidates(text):
                     label = int(base.meets(first, end))
                     if label or _checked_number(text[first:end]):
-                        windows.append(window(text, first, end, params))
-                        labels.append(label)
+                        pieces = list(windows(text, first, end, params))
+                        learnt += pieces
+                        labels += [label] * len(pieces)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(windows, pa.string()), pa.array(labels, pa.int32())], ["window", "label"]
+                [pa.array(learnt, pa.string()), pa.array(labels, pa.int32())], ["window", "label"]
             )
 
     found = documents.select("text").mapInArrow(findings, "window string, label int")
@@ -288,11 +302,11 @@ def fit_secret_net(documents: DataFrame, params: ScanParams = DEFAULTS) -> Secre
     if not chosen:
         return train_net(np.zeros((0, 1), np.int64), np.zeros(0), params)
     others = [row.window for row in chosen if not row.label]
-    windows = [
+    learnt = [
         in_context_of(row.window, others[i % len(others)], params) if row.label and i % 2 and others else row.window
         for i, row in enumerate(chosen)
     ]
-    return train_net(encode(windows), np.array([row.label for row in chosen], float), params)
+    return train_net(encode(learnt), np.array([row.label for row in chosen], float), params)
 
 
 def _checked_number(run: str) -> bool:
@@ -316,7 +330,7 @@ def _word_negatives(documents: DataFrame, params: ScanParams) -> list:
                 base = _Taken(base_spans(text))
                 for m in _WORD.finditer(text):
                     if not base.meets(m.start(), m.end()):
-                        rows.append((m[0].lower(), own, window(text, m.start(), m.end(), params)))
+                        rows += [(m[0].lower(), own, piece) for piece in windows(text, m.start(), m.end(), params)]
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
             kinds = (pa.string(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -336,7 +350,7 @@ def scan_secrets(documents: DataFrame, net: SecretNet) -> DataFrame:
     """`documents` with _base and _spans, arrays of (kind, start, end): base findings, and these with the learned ones.
 
     Places are code points of the whole text, ends exclusive; spans go by start, then by kind as in `KINDS`. Every
-    candidate that no base finding overlaps goes through the network. NULL and empty texts have no spans; repeated rows
+    candidate that no base finding overlaps goes through the network, a long one piece by piece: it is a secret if one is. NULL and empty texts have no spans; repeated rows
     stay; other columns pass through, but for ones with the names of the new two.
     """
     documents = documents.drop("_base", "_spans")
@@ -350,20 +364,24 @@ def scan_secrets(documents: DataFrame, net: SecretNet) -> DataFrame:
         net = shared.value
         for batch in batches:
             base: list[list[Span]] = [[] for _ in range(len(batch))]
-            windows, places = [], []
+            pieces, owners, secrets = [], [], set()
             for row in marked_rows(batch.column(place)):
                 text = batch.column(place)[row].as_py()
                 base[row] = base_spans(text)
                 taken = _Taken(base[row])
                 for first, end in candidates(text):
-                    if not taken.meets(first, end):
-                        windows.append(window(text, first, end, net.params))
-                        places.append((row, first, end))
+                    if net.threshold > 1 or taken.meets(first, end):
+                        continue
+                    for piece in windows(text, first, end, net.params):
+                        pieces.append(piece)
+                        owners.append((row, first, end))
+                        if len(pieces) == PIECES:
+                            secrets |= net.secrets(pieces, owners)
+                            pieces, owners = [], []
+            secrets |= net.secrets(pieces, owners)
             spans = [list(found) for found in base]
-            if windows and net.threshold <= 1:
-                for at in np.flatnonzero(net.probability(encode(windows)) >= net.threshold):
-                    row, first, end = places[at]
-                    spans[row].append((first, 3, end))
+            for row, first, end in secrets:
+                spans[row].append((first, 3, end))
             named = [
                 pa.array([[(KINDS[k], a, b) for a, k, b in sorted(found)] for found in each], arrow)
                 for each in (base, spans)

@@ -110,6 +110,30 @@ def test_secret_scan_odd_rows(spark):
     assert secret_scan.scan_secrets(empty, secret_scan.fit_secret_net(empty)).count() == 0
 
 
+@pytest.mark.parametrize("length", [1, 16, 47, 48, 49, 92, 93, 137, 5000])
+def test_secret_windows_read_the_whole_candidate(length):
+    params = secret_scan.DEFAULTS
+    rng = np.random.default_rng(length)
+    inner = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), length))
+    text = "key of the box is " + inner + "."
+    pieces = list(secret_scan.windows(text, 18, 18 + length, params))
+    before, after = text[:18].rjust(params.context, "\0"), ".".ljust(params.context, "\0")
+    assert {(p[: params.context], p[-params.context :], len(p)) for p in pieces} == {(before, after, 2 * params.context + params.middle)}
+    read = [p[params.context : -params.context].rstrip("\0") for p in pieces]
+    assert all(any(inner[i : i + params.width] in r for r in read) for i in range(max(1, length - params.width + 1)))
+    assert len(pieces) == 1 if length <= params.middle else len(pieces) <= length / (params.middle - params.width + 1) + 1
+
+
+def test_a_long_candidate_is_a_secret_if_a_piece_is():
+    net = secret_scan.SecretNet.fresh(secret_scan.DEFAULTS)
+    pieces = [p for n in (20, 200) for p in secret_scan.windows("x" * n, 0, n, net.params)]
+    owners = [(0, 0, 20)] + [(1, 0, 200)] * (len(pieces) - 1)
+    chances = net.probability(secret_scan.encode(pieces))
+    net.threshold = float(chances[1:].max())
+    expected = {(1, 0, 200)} | ({(0, 0, 20)} if chances[0] >= net.threshold else set())
+    assert len(pieces) > 4 and net.secrets(pieces, owners) == expected and net.secrets([], []) == set()
+
+
 def test_secret_net_finds_secrets_without_a_name(spark):
     rng = random.Random(1)
     words = ["alpha", "beta", "gamma", "delta", "number", "value"]
