@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobgauge.functions.exact import bin_columns, folded_columns, present_bins
+from jobgauge.functions.exact import bin_columns, exact_parts, folded_columns, present_bins
 from jobgauge.sources.scratch import written
 
 
@@ -32,10 +32,10 @@ def with_prefix_sum(
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*within, *order]
     plain = {key: f"key{i}" for i, key in enumerate(keys)}
-    keyed = df.select(*[F.col(key).alias(plain[key]) for key in keys], F.col(value).alias("value"))
+    keyed = df.select(*[F.col(key).alias(plain[key]) for key in keys], exact_parts(F.col(value)).alias("parts"))
     groups, places = [plain[key] for key in within], [plain[key] for key in order]
-    bins = present_bins(keyed, "value")
-    parts = bin_columns("value", bins)
+    bins = present_bins(keyed, "parts")
+    parts = bin_columns("parts", bins)
     per_key = keyed.groupBy(*plain.values()).agg(*[F.sum(part).alias(part_name) for part_name, part in parts.items()])
     dealt = per_key.repartitionByRange(ranges, *plain.values()).withColumn("stretch", F.spark_partition_id())
     dealt = written(dealt, "stretches")

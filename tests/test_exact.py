@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan
-from jobgauge.functions.exact import exact_aggregate
+from jobgauge.functions.exact import exact_aggregate, exact_parts
 from jobgauge.operators import totals
 
 CORNERS = [
@@ -64,6 +64,26 @@ def test_two_sums_of_different_sizes(spark):
         assert out[g] == (_expected([2.0 ** (i - 150) for i in ids]), _expected([1 / (i + 1) for i in ids]), 100)
 
 
+def test_parts_at_the_borders_of_bins(spark):
+    edges = [sign * math.ldexp(m, e) for e in range(-1070, 1000, 32) for e in (e, e + 21) for m in (0.5, 1 - 2**-53, 1.0) for sign in (1, -1)]
+    edges += [math.ldexp(m, e) for e in range(-110, 150) for m in (1.0, 1 - 2**-53, 1 + 2**-52)]
+    df = spark.createDataFrame([(v,) for v in [*edges, 0.0, -0.0, None, math.nan, math.inf]], "v double")
+    found = df.select("v", exact_parts(F.col("v")).alias("parts")).collect()
+    assert len(found) == len(edges) + 5
+    for v, parts in found:
+        if v is None or not math.isfinite(v):
+            assert parts is None
+        else:
+            assert (Fraction(parts.high) * 2**40 + parts.low) * Fraction(2) ** (32 * parts.bin) == Fraction(v)
+            assert abs(parts.high) < 2**46 and 0 <= parts.low < 2**40
+
+
+def test_parts_of_usual_numbers_need_no_logarithm(spark):
+    """Logarithms and powers stand once each, in the branch for numbers that are very small or large."""
+    text = plan(spark.range(1).select(exact_parts(F.col("id").cast("double")).alias("parts")))
+    assert text.upper().count("LOG2(") <= 2 and text.upper().count("POWER(") <= 4
+
+
 def test_rows_are_added_before_they_are_shuffled(spark):
     df = spark.range(1000).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("v"))
     text = plan(exact_aggregate(df, ["g"], {"total": F.col("v")}))
