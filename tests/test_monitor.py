@@ -42,6 +42,11 @@ def test_last_snapshot_equals_the_batch_analysis(spark, run_files, path):
     assert history.read_history(spark, path("history")).filter("batch_id = 5 and job_id = 77").count() == 1
 
 
+def test_the_stream_splits_usual_runtimes_without_logarithms(run_files):
+    _, runs = run_files
+    assert plan(summary.partial_summaries(runs)).upper().count("LOG2(") <= 2
+
+
 def test_replayed_batch_replaces_its_snapshot(spark, run_files, path):
     _, runs = run_files
     analysis = summary.analyze_runs(runs)
