@@ -13,6 +13,7 @@ from jobgauge.operators import business, joins, totals
 from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.plans.ingestion import run_ingestion
 from jobgauge.plans.silver import TARGETS, run_silver
+from workload import sales_queries
 
 DAY = [dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2), dt.datetime(2024, 4, 1), None]
 
@@ -82,6 +83,24 @@ def test_prefix_sum_over_time_stamps_with_ties_across_ranges(spark, ranges):
     assert len(alone) == len(data) and all(r.total == whole[None, r["at"]] for r in alone)
 
 
+def test_totals_by_time_and_type_compute_the_first_totals_once(spark, monkeypatch, tmp_path):
+    data = [(i, dt.datetime(2024, 1, 1 + i % 7), "ab"[i % 2], float(i)) for i in range(30)]
+    events = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    given = []
+
+    def kept(df, *args):
+        given.append(df)
+        return with_prefix_sum(df, *args)
+
+    monkeypatch.setattr(sales_queries, "with_prefix_sum", kept)
+    found = {r.event_id: (r.running_total, r.running_by_type) for r in sales_queries.running_total_by_time(spark, str(tmp_path)).collect()}
+    for i, ts, kind, _ in data:
+        before = [(k, v) for _, t, k, v in data if t <= ts]
+        assert found[i] == (sum(v for _, v in before), sum(v for k, v in before if k == kind))
+    assert len(given) == 2 and all("Exchange" not in plan(df) and "Join" not in plan(df) for df in given)
+
+
 def test_prefix_sum_with_clashing_columns_missing_values_and_no_rows(spark):
     data = [(1, None, 7, "x"), (2, float("nan"), 8, "y"), (3, 2.0, 9, "z"), (3, 1.0, 9, "z")]
     df = spark.createDataFrame(data, "key0 int, value double, stretch int, total string")

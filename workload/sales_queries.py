@@ -10,7 +10,7 @@ from jobgauge.operators.prefix_sums import with_prefix_sum
 from jobgauge.plans.ingestion import run_ingestion
 from jobgauge.plans.silver import publish_silver, silver_table
 from jobgauge.sources.publish import published
-from jobgauge.sources.scratch import scratch_path
+from jobgauge.sources.scratch import scratch_path, written
 from jobgauge.sources.tables import read_source
 from jobgauge.sources.writers import write_table
 from workload.registry import query
@@ -324,7 +324,7 @@ def running_total_by_time(spark, sf_dir):
     """Running totals over full time stamps, of all events and per type, of which there are few."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     running = with_prefix_sum(events, "value", ["ts"], "running_total")
-    by_type = with_prefix_sum(running, "value", ["ts"], "running_by_type", ["event_type"])
+    by_type = with_prefix_sum(written(running, "running-totals"), "value", ["ts"], "running_by_type", ["event_type"])
     return by_type.select("event_id", "running_total", "running_by_type")
 
 
