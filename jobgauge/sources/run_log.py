@@ -6,7 +6,7 @@ configuration is empty, quoted, or starts with a brace. All other lines are reje
 
 A quoted field may hold line breaks. `read_run_records` finds the borders of such records in parallel: lines that are whole
 records need no others, and of the rest the parity of the quotes before a line tells whether it goes on with a field. The
-parity is counted inside each file split, and carried over the borders of splits by a table with one row per split.
+parity is counted inside short chunks of file splits, and carried over their borders by a table with one row per chunk.
 """
 
 from dataclasses import dataclass
@@ -24,6 +24,8 @@ _NAME = rf'{_QUOTED}|[^,"]*+'
 _CONFIGURATION = rf'\{{.*?|{_QUOTED}|'
 _LINE = rf'(?s)^([^,]*+),({_NAME}),({_CONFIGURATION}),([0-9.]*),({_STAMP}),({_STAMP}),(?:"(.*)")?$'
 _MARK = "\u0001"
+#: A chunk has two to the power of this many lines at most.
+_CHUNK_BITS = 12
 _FIELDS = {name: number for number, name in enumerate(schemas.RUNS.fieldNames())}
 
 
@@ -50,14 +52,14 @@ def read_run_records(spark: SparkSession, path: str) -> RunRecords:
     A line that is a whole record and closes its quotes always is one, so a quote that nobody closes does harm up to the next such line at most.
     Lines between two of them are records from a line before which all quotes are closed to the next. What does not parse is
     rejected line by line; headers and blank lines outside of records are left out. Every line is parsed once and written;
-    only lines that are no record by themselves are shuffled, by file split, and again by record.
+    only lines that are no record by themselves are shuffled, by chunk, and again by record.
     """
     source = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
-        F.when(_quotes("value") % 2 == 0, _record("value")).alias("record"),
+        F.when((_quotes("value") % 2 == 0), _record("value")).alias("record"),
     )
     parsed = written(source, "run-lines")
     runs = parsed.filter("record IS NOT NULL").select("record.*")
@@ -69,38 +71,70 @@ def read_run_records(spark: SparkSession, path: str) -> RunRecords:
 
 def _spanning(parsed: DataFrame) -> DataFrame:
     """Lines that are no record by themselves, as one array `lines` for each record that they may make up."""
-    split = ["file", "block"]
-    loose = parsed.filter("record IS NULL").select(*split, "at", "line")
-    in_split = Window.partitionBy(*split).orderBy("at")
-    # Lines that follow each other directly have one number less their rank: an island.
-    island = Window.partitionBy(*split, "island").orderBy("at")
-    upto = island.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    loose = loose.withColumn("island", F.col("at") - F.row_number().over(in_split)).withColumn("quotes", _quotes("line"))
-    loose = loose.withColumn("inside", (F.sum("quotes").over(upto) - F.col("quotes")) % 2)
-    ends = parsed.groupBy(*split).agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    islands = loose.groupBy(*split, "island").agg(
-        F.min("at").alias("from"), F.max("at").alias("to"), (F.sum("quotes") % 2).alias("odd")
-    )
-    last_island = islands.join(ends, split).filter(F.col("to") == F.col("last")).select(
-        *split, "odd", "island", (F.col("from") == F.col("first")).alias("through")
-    )
-    splits = ends.join(last_island, split, "left").withColumns({"odd": F.coalesce("odd", F.lit(0)), "through": F.coalesce("through", F.lit(False))})
-    by_file = Window.partitionBy("file").orderBy("block")
-    # The parity at the end of a split goes back to the last split with a whole record in it.
+    chunk = F.shiftright("at", _CHUNK_BITS).alias("chunk")
+    # A chunk may hold the end of one file split and the start of another one: `first` tells them apart.
+    ends = parsed.groupBy("file", "block", chunk).agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    ends = written(ends, "line-chunks")
+    loose = parsed.filter("record IS NULL").select(chunk, "at", "line", (_quotes("line") % 2).alias("quotes"))
+    placed = written(_placed(loose, ends), "loose-lines")
+    pieces = written(_pieces(placed, ends), "line-pieces").select(F.col("first").alias("of"), "carried", "head")
+    keyed = placed.join(pieces, F.col("first") == F.col("of"))
+    odd = (F.col("from") == F.col("first")) & (F.col("carried") == 1)
+    start = F.coalesce(F.when(odd, F.col("start_odd")).otherwise(F.col("start_even")), "head", "at")
+    lines = F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("lines")
+    return keyed.groupBy(start.alias("start")).agg(lines)
+
+
+def _placed(loose: DataFrame, ends: DataFrame) -> DataFrame:
+    """The loose lines with the piece of a file split that they are in, by its number `first`, and what that tells of them.
+
+    from: the first of the lines that follow each other directly up to this one, an island. inside: whether an odd number of
+    quotes lies between the two. start_even, start_odd: the last line of the island up to this one that begins a record, if
+    an even or odd number of quotes lies before the island.
+    """
+    pieces = ends.select(F.col("chunk").alias("of"), "block", "first", "last")
+    within = (F.col("chunk") == F.col("of")) & F.col("at").between(F.col("first"), F.col("last"))
+    placed = loose.join(pieces, within).drop("of", "last")
+    # All windows have one order, so that a chunk's lines are sorted once.
+    order = Window.partitionBy("chunk", "first").orderBy("at")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def last(value: Column) -> Column:
+        return F.last(value, ignorenulls=True).over(upto)
+
+    begins = F.coalesce(F.col("at") - F.lag("at").over(order) > 1, F.lit(True))
+    placed = placed.withColumns({"begins": begins, "before": F.sum("quotes").over(upto) - F.col("quotes")})
+    placed = placed.withColumns({"from": last(F.when(F.col("begins"), F.col("at"))), "base": last(F.when(F.col("begins"), F.col("before")))})
+    placed = placed.withColumn("inside", (F.col("before") - F.col("base")) % 2).drop("begins", "before", "base")
+    starts = {"start_even": last(F.when(F.col("inside") == 0, F.col("at"))), "start_odd": last(F.when(F.col("inside") == 1, F.col("at")))}
+    placed = placed.withColumns(starts)
+    return placed.withColumns({name: F.when(F.col(name) >= F.col("from"), F.col(name)) for name in starts})
+
+
+def _pieces(placed: DataFrame, ends: DataFrame) -> DataFrame:
+    """Per piece: carried, the parity of the open quotes before it, and head, the last line before it that begins a record."""
+    tail = F.max(F.struct("at", "from", ((F.col("inside") + F.col("quotes")) % 2).alias("odd"), "start_even", "start_odd")).alias("tail")
+    last_lines = placed.groupBy(F.col("first").alias("of")).agg(tail)
+    joined = ends.join(last_lines, F.col("first") == F.col("of"), "left")
+    touches = F.coalesce(F.col("tail.at") == F.col("last"), F.lit(False))
+    pieces = joined.select(
+        "file",
+        "block",
+        "first",
+        F.when(touches, F.col("tail.odd")).otherwise(0).alias("odd"),
+        (touches & (F.col("tail.from") == F.col("first"))).alias("whole"),
+        F.when(touches, F.col("tail.start_even")).alias("even_tail"),
+        F.when(touches, F.col("tail.start_odd")).alias("odd_tail"),
+    ).withColumn("through", F.coalesce("whole", F.lit(False)))
+    by_file = Window.partitionBy("file").orderBy("block", "first")
+    # The parity at the end of a piece goes back to the last piece with a whole record in it.
     chain = F.sum(F.when(F.col("through"), 0).otherwise(1)).over(by_file)
-    in_chain = Window.partitionBy("file", "chain").orderBy("block")
-    splits = splits.withColumn("chain", chain).withColumn("odd_end", F.sum("odd").over(in_chain) % 2)
-    splits = splits.withColumn("carried", F.coalesce(F.lag("odd_end").over(by_file), F.lit(0)))
-    placed = loose.join(splits.select(*split, "first", "carried"), split)
-    touches = F.col("island") == F.col("first") - 1
-    placed = placed.withColumn("inside", (F.col("inside") + F.when(touches, F.col("carried")).otherwise(0)) % 2)
-    start = F.last(F.when(F.col("inside") == 0, F.col("at")), ignorenulls=True)
-    placed = placed.withColumn("start", start.over(upto))
-    tails = placed.join(splits.select(*split, "island"), [*split, "island"], "left_semi").groupBy(*split).agg(F.max("start").alias("tail"))
-    before = F.last("tail", ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
-    heads = splits.join(tails, split, "left").select(*split, before.alias("head"))
-    keyed = placed.join(heads, split).withColumn("start", F.coalesce("start", "head", "at"))
-    return keyed.groupBy("start").agg(F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
+    in_chain = Window.partitionBy("file", "chain").orderBy("block", "first")
+    pieces = pieces.withColumn("chain", chain).withColumn("odd_end", F.sum("odd").over(in_chain) % 2)
+    pieces = pieces.withColumn("carried", F.coalesce(F.lag("odd_end").over(by_file), F.lit(0)))
+    tails = F.when(F.col("through") & (F.col("carried") == 1), F.col("odd_tail")).otherwise(F.col("even_tail"))
+    before = F.last(tails, ignorenulls=True).over(by_file.rowsBetween(Window.unboundedPreceding, -1))
+    return pieces.select("first", "carried", before.alias("head"))
 
 
 def _quotes(column: str) -> Column:

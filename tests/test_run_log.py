@@ -6,7 +6,7 @@ import pytest
 
 from helpers import plan
 from jobgauge import schemas
-from jobgauge.sources import run_log
+from jobgauge.sources import run_log, scratch
 
 CONFIGURATION = '{"cluster_config": {"num_workers": 3}}'
 
@@ -57,6 +57,27 @@ def test_records_over_lines_at_any_split_size(spark, tmp_path, split_bytes):
     assert read.runs.schema.fieldNames() == schemas.RUNS.fieldNames()
 
 
+@pytest.mark.parametrize("bits", [0, 1, 4])
+def test_records_over_lines_in_short_chunks(spark, tmp_path, monkeypatch, bits):
+    """Windows over lines see a chunk, not a whole file split, which may be most of a file."""
+    rng = random.Random(bits)
+    folder, runs, rejected = tmp_path / "log", [], []
+    folder.mkdir()
+    for i in range(2):
+        text, own, others = _log(rng, 30)
+        (folder / f"{i}.csv").write_text(text)
+        runs += own
+        rejected += others
+    monkeypatch.setattr(run_log, "_CHUNK_BITS", bits)
+    made = {}
+    monkeypatch.setattr(run_log, "written", lambda df, label: made.setdefault(label, df) and scratch.written(df, label))
+    read = run_log.read_run_records(spark, str(folder))
+    assert sorted([(r.job_id, r.output) for r in read.runs.collect()], key=repr) == sorted(runs, key=repr)
+    assert sorted(r.line for r in read.rejected.collect()) == sorted(rejected)
+    of_lines = [line for line in plan(made["loose-lines"]).splitlines() if "Window [" in line]
+    assert of_lines and all("chunk#" in line for line in of_lines)
+
+
 def test_an_empty_log_gives_empty_tables(spark, tmp_path):
     (tmp_path / "log.csv").write_text(run_log.HEADER + "\n\n")
     read = run_log.read_run_records(spark, str(tmp_path / "log.csv"))
