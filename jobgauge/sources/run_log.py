@@ -59,7 +59,7 @@ def read_run_records(spark: SparkSession, path: str) -> RunRecords:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
-        F.when((_quotes("value") % 2 == 0), _record("value")).alias("record"),
+        F.when((_quotes("value") % 2 == 0) & _maybe_record("value"), _record("value")).alias("record"),
     )
     parsed = written(source, "run-lines")
     runs = parsed.filter("record IS NOT NULL").select("record.*")
@@ -137,6 +137,12 @@ def _pieces(placed: DataFrame, ends: DataFrame) -> DataFrame:
     return pieces.select("first", "carried", before.alias("head"))
 
 
+def _maybe_record(column: str) -> Column:
+    """False only for lines with too few commas to be a record, which need no parsing."""
+    commas = F.length(column) - F.length(F.replace(F.col(column), F.lit(","), F.lit("")))
+    return (commas >= len(_FIELDS) - 1) | F.contains(F.col(column), F.lit(_MARK))
+
+
 def _quotes(column: str) -> Column:
     return F.length(column) - F.length(F.replace(F.col(column), F.lit('"'), F.lit("")))
 

@@ -78,6 +78,15 @@ def test_records_over_lines_in_short_chunks(spark, tmp_path, monkeypatch, bits):
     assert of_lines and all("chunk#" in line for line in of_lines)
 
 
+def test_lines_with_few_commas_are_not_parsed(spark):
+    """The lines inside an output have few commas; a line of seven fields has six, whatever they hold."""
+    lines = [",,,,,,", "1,a,,1,,,", ",,,,,", "INFO: Processed 1,234 rows", "\u0001".join("1234567"), "1,a,{},1,,,"]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    found = df.select("value", run_log._maybe_record("value").alias("maybe"), run_log._record("value").isNotNull().alias("is")).collect()
+    assert {r.value for r in found if r.maybe} == {lines[0], lines[1], lines[4], lines[5]}
+    assert all(r.maybe for r in found if r["is"]) and any(r["is"] for r in found)
+
+
 def test_an_empty_log_gives_empty_tables(spark, tmp_path):
     (tmp_path / "log.csv").write_text(run_log.HEADER + "\n\n")
     read = run_log.read_run_records(spark, str(tmp_path / "log.csv"))
