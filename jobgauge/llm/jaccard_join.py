@@ -22,9 +22,9 @@ from jobgauge.sources.scratch import discard, remove, scratch_path, written
 #: Words of a shingle, and the least similarity in percent.
 SHINGLE_WORDS = 4
 PERCENT = 85
-#: Bits of a sketch for each shingle in which a set may differ from a linked one, about. Unrelated sets differ in half of
-#: the bits, twice as many as linked ones may.
-SKETCH_BITS = 4
+#: Bits of a sketch for each shingle in which a set may differ from a linked one, about. The fewer flips meet in one bit, the
+#: fewer sets beyond the limit seem within it: in a large group of near copies, most pairs are a little too far apart.
+SKETCH_BITS = 16
 #: Ratio of the sizes at the ends of a band.
 BAND_RATIO = 1.35
 #: Keys of one group are compared with this many chosen members first; further pairs only where that leaves parts apart.

@@ -221,6 +221,17 @@ def test_unrelated_sets_share_no_keys_and_have_distant_sketches(percent):
             seen.append((own, keys))
 
 
+def test_sketches_tell_near_copies_beyond_the_limit_apart():
+    """In a large group of near copies most pairs are somewhat too far apart; few of them may seem linked."""
+    rng = np.random.default_rng(8)
+    near = 0
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**64, 147, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[16:], rng.integers(0, 2**64, 16, dtype=np.uint64))))  # similar by 80 percent
+        near += _distance(a, b, 85) <= jaccard_join.most_different(len(a), len(b), 85)
+    assert near <= 10
+
+
 def test_stages_leave_columns_of_any_name_alone(spark):
     names = ["_score", "_before", "_cut", "_n", "_doc", "_row", "_stays", "_rank", "_spans", "_items", "_n_words", "_hit", "_lines",
              "_removed", "_n_lines", "class", "class2", "root", "of", "key", "a", "b", "size", "extra0"]
