@@ -9,6 +9,7 @@ XOR of its shingles is a join key. Candidates whose sketches are too far apart a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ BAND_RATIO = 1.35
 LEADERS = 8
 #: Bands are told apart by their number modulo this; a set has keys in three adjacent ones at most.
 BAND_CODES = 4
+#: Slices of the keys, of which one is on its way between tasks at a time.
+KEY_SLICES = 4
 _BATCH_KEYS = 1 << 18
 
 
@@ -289,15 +292,20 @@ def keep_first(documents: DataFrame, linked: DataFrame) -> DataFrame:
 
 def _members(keys: DataFrame) -> DataFrame:
     """The rows of `keys`, key and class, whose group has another set."""
-    # A semi-join instead of a window or a list: a group with very many sets is split. Read from a table, the keys are
-    # made and shuffled once for both sides.
+    # A semi-join instead of a window or a list: a group with very many sets is split. Read from a table, the keys are made
+    # once; they take more room than the texts, so they are shuffled one slice after the other, once for both sides.
     spark, path = keys.sparkSession, scratch_path(keys.sparkSession, "keys")
     keys.write.parquet(path)
     keys = spark.read.schema(keys.schema).parquet(path)
-    left, right = _prefixed(keys, "a_"), _prefixed(keys, "b_")
     other = (F.col("a_key") == F.col("b_key")) & (F.col("a_class") != F.col("b_class"))
-    shared = written(_unprefixed(left.join(right, other, "left_semi"), "a_").distinct(), "members")
+    found = []
+    for number in range(KEY_SLICES):
+        own = keys.filter(F.pmod(F.xxhash64("key"), F.lit(KEY_SLICES)) == number)
+        left, right = _prefixed(own, "a_"), _prefixed(own, "b_")
+        found.append(written(_unprefixed(left.join(right, other, "left_semi"), "a_").distinct(), "members-slice"))
     remove(spark, path)
+    shared = written(reduce(DataFrame.unionByName, found), "members")
+    discard(*found)
     return shared
 
 

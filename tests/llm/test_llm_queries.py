@@ -13,6 +13,7 @@ import corpus_pipeline
 from helpers import plan
 from jobgauge.llm import decontaminate, jaccard_join, line_dedup, quality
 from jobgauge.llm.queries import ORACLES, QUERIES
+from jobgauge.sources.scratch import written
 
 SF_DIR = "/root/testdata/sf0.001"
 NATIVE = ("op1_chat_format", "op2_line_dedup", "op8_mixing")
@@ -232,6 +233,22 @@ def test_sketches_tell_near_copies_beyond_the_limit_apart():
     assert near <= 10
 
 
+def test_keys_are_shuffled_a_slice_at_a_time(spark, monkeypatch):
+    rows = [(k, c) for k in range(40) for c in range(k % 3 + 1)] + [(7, 0), (900, 5), (900, 5)]
+    made = []
+
+    def kept(df, label):
+        made.append((label, df._jdf.queryExecution().toString()))
+        return written(df, label)
+
+    monkeypatch.setattr(jaccard_join, "written", kept)
+    found = jaccard_join._members(spark.createDataFrame(rows, "key long, class long"))
+    assert sorted(map(tuple, found.collect())) == sorted({(k, c) for k, c in rows if k % 3 and k < 40})
+    slices = [text for label, text in made if label == "members-slice"]
+    assert len(slices) == jaccard_join.KEY_SLICES and all("pmod(xxhash64(" in text for text in slices)
+    assert all("Exchange" not in text for label, text in made if label == "members")
+
+
 def test_stages_leave_columns_of_any_name_alone(spark):
     names = ["_score", "_before", "_cut", "_n", "_doc", "_row", "_stays", "_rank", "_spans", "_items", "_n_words", "_hit", "_lines",
              "_removed", "_n_lines", "class", "class2", "root", "of", "key", "a", "b", "size", "extra0"]
