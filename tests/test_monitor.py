@@ -9,6 +9,8 @@ from helpers import config, plan, rows, run
 from jobgauge import schemas
 from jobgauge.operators import history, logs, summary, trends
 from jobgauge.streaming import monitor
+from workload import run_queries
+from workload.views import runs as runs_of
 
 
 @pytest.fixture
@@ -47,6 +49,45 @@ def test_the_stream_splits_usual_runtimes_without_logarithms(run_files):
     assert plan(summary.partial_summaries(runs)).upper().count("LOG2(") <= 2
 
 
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def test_a_table_of_one_row_group_arrives_in_files_of_several_tasks(spark, path):
+    """Six days in one file: two days in each group, without every tenth run of the first day, which comes last."""
+    ids = F.col("id")
+    day = F.least(F.floor(ids / 20_000), F.lit(6))
+    events = spark.range(120_001).select(
+        ids.alias("event_id"), F.when(day < 6, F.timestamp_seconds(day * 86_400 + ids % 1000)).cast("timestamp_ntz").alias("ts"),
+        (ids % 50).alias("user_id"), F.lit("click").alias("event_type"), (ids % 9).cast("double").alias("value"),
+        F.lit('{"k": 3}').alias("props"),
+    )
+    events.coalesce(1).write.parquet(path("events.parquet"))
+    files, arrived = [], []
+    setting = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1b")
+    try:
+        for _ in run_queries._run_streams(spark, path(""), path("stream")):
+            there = spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(path("stream/files"))
+            files.append(len(there.inputFiles()))
+            arrived.append(there.count())
+    finally:
+        spark.conf.set(setting, before)
+    assert all(more - fewer > 1 for fewer, more in zip([0, *files], files, strict=False))
+    assert arrived == [38_000, 78_000, 120_001]
+    assert there.exceptAll(events).isEmpty() and events.exceptAll(there).isEmpty()
+
+
+@pytest.mark.parametrize("hours", [0, 5])
+def test_a_stream_over_groups_without_runs(spark, path, hours):
+    """All runs on one day, which leaves the second group empty, and no runs at all."""
+    data = [(i, dt.datetime(2024, 3, 1, i % 5), i % 3, "view", float(i), '{"k": 4}') for i in range(hours * 6)]
+    spark.createDataFrame(data, EVENTS).write.parquet(path("events.parquet"))
+    last = run_queries.monitor_stream(spark, path(""))
+    batch = summary.analyze_runs(runs_of(spark, path("")), run_queries.RUN_RULES, run_queries.TIEBREAK)
+    assert rows(last) == rows(batch.select("job_id", "avg_runtime", "recommendation"))
+
+
 def test_replayed_batch_replaces_its_snapshot(spark, run_files, path):
     _, runs = run_files
     analysis = summary.analyze_runs(runs)
